@@ -5,9 +5,10 @@ from __future__ import annotations
 from tessera.llm.decontamination import op10_winnowing
 from tessera.llm.gif import op1_gif
 from tessera.llm.jaccard import op5_signature_tree
+from tessera.llm.kneser_ney import op9_kneser_ney
 from tessera.llm.packing import op7_karmarkar_karp
 from tessera.llm.sharding import op6_virtual_slots
 
-QUERIES = {f.__name__: f for f in (op1_gif, op5_signature_tree, op6_virtual_slots, op7_karmarkar_karp, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_gif, op5_signature_tree, op6_virtual_slots, op7_karmarkar_karp, op9_kneser_ney, op10_winnowing)}
 
 ORACLE_SQL: dict[str, str] = {}
