@@ -119,12 +119,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = items.schema["item_id"].dataType.simpleString()
     wins = common.store(items.select("item_id", "text").mapInArrow(item_windows(window, gram), f"item_id {item_kind}, length int, win binary, kept array<long>"), "windows")
-    # At most 2 ** SCREEN_BITS places and `window` lengths reach the driver.
-    places = np.array([r[0] for r in wins.select(F.explode("kept").alias("h")).select(F.shiftrightunsigned("h", 64 - SCREEN_BITS).alias("p")).distinct().collect()], dtype=np.int64)
-    lengths = sorted(r[0] for r in wins.select("length").distinct().collect())
-    bits = np.zeros(1 << SCREEN_BITS, dtype=np.uint8)
-    bits[places] = 1
-    screen = np.packbits(bits, bitorder="little").tobytes()
+    lengths = sorted(r[0] for r in wins.select("length").distinct().collect())  # `window` rows at most
+    places = wins.select(F.explode("kept").alias("h")).select(F.shiftrightunsigned("h", 64 - SCREEN_BITS).alias("p"))
+    screen = common.bit_table(places, "p", SCREEN_BITS)
     seen = docs.select("doc_id", "text").mapInArrow(document_hits(screen, lengths, window, gram), f"doc_id {kind}, n_words long, hits array<struct<start:int,length:int,win:binary>>")
     seen = common.store(seen.withColumn("_row", F.monotonically_increasing_id()), "hits")
     hits = seen.select("_row", F.explode("hits").alias("h")).select("_row", "h.start", "h.length", "h.win")

@@ -117,22 +117,25 @@ def sketch_rows(k: int):
     return run
 
 
-def merge_counts(key, table):
-    total = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCKS, dtype=np.uint32)
-    for chunk in table.column("counts").chunks:
-        for raw in chunk:
-            total += np.frombuffer(raw.as_buffer(), np.uint8)
-    return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+def merge_counts(kind):
+    def run(key, table):
+        total = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCKS, dtype=np.uint32)
+        for chunk in table.column("counts").chunks:
+            for raw in chunk:
+                total += np.frombuffer(raw.as_buffer(), kind)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    return run
 
 
 def common_shingles(docs: DataFrame, k: int) -> bytes:
     """Bits of the sketch's counters that stand far above its noise."""
     spread = docs.select("text").mapInArrow(sketch_rows(k), "block int, counts binary")
     # Blocks are merged in two steps, so no task takes the counts of all others.
-    merged = spread.withColumn("block", F.col("block") + SKETCH_BLOCKS * F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("block").applyInArrow(merge_counts, "block int, counts binary")
-    counts = np.zeros((SKETCH_BLOCKS, (1 << SKETCH_BITS) // SKETCH_BLOCKS), dtype=np.int64)
-    for r in merged.toLocalIterator():
-        counts[r.block % SKETCH_BLOCKS] += np.frombuffer(r.counts, np.uint32)
+    merged = spread.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("block", "part").applyInArrow(merge_counts(np.uint8), "block int, counts binary").groupBy("block").applyInArrow(merge_counts(np.uint32), "block int, counts binary")
+    counts = np.zeros((SKETCH_BLOCKS, (1 << SKETCH_BITS) // SKETCH_BLOCKS), dtype=np.uint32)
+    for r in merged.collect():  # SKETCH_BLOCKS rows
+        counts[r.block] = np.frombuffer(r.counts, np.uint32)
     flat = counts.ravel()
     mean = float(flat.mean())
     return np.packbits(flat > 24 + 3 * mean, bitorder="little").tobytes()

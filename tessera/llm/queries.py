@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from tessera.llm.decontamination import op10_winnowing
 from tessera.llm.gif import op1_gif
+from tessera.llm.html_text import op4_block_rules
 from tessera.llm.jaccard import op5_signature_tree
 from tessera.llm.kneser_ney import op9_kneser_ney
+from tessera.llm.language import op3_viterbi_language
 from tessera.llm.packing import op7_karmarkar_karp
+from tessera.llm.quality import op2_pu_quality
 from tessera.llm.sharding import op6_virtual_slots
+from tessera.llm.toxicity import op8_crf_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_gif, op5_signature_tree, op6_virtual_slots, op7_karmarkar_karp, op9_kneser_ney, op10_winnowing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_gif, op2_pu_quality, op3_viterbi_language, op4_block_rules, op5_signature_tree, op6_virtual_slots, op7_karmarkar_karp, op8_crf_toxicity, op9_kneser_ney, op10_winnowing)
+}
 
+#: SQL for results that SQL can express; see tests/llm for the brute-force versions of the rest.
 ORACLE_SQL: dict[str, str] = {}
