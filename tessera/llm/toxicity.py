@@ -261,6 +261,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, other_
     chain.fit(ids, sizes, states)
     x, _ = chain.evidence(chain.probabilities(ids, sizes), sizes)
     chain.fit_scale(x, np.r_[np.ones(len(toxic)), np.zeros(len(other))])
+    # The sample holds more toxic documents than the labels do.
+    n = {r.toxic: r["count"] for r in labels.filter("toxic is not null").groupBy("toxic").count().collect()}
+    chain.scale[0] += np.log(max(1, n.get(1, 0)) / max(1, n.get(0, 0))) - np.log(len(toxic) / max(1, len(other)))
     return chain
 
 
