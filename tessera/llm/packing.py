@@ -31,58 +31,84 @@ WINDOW = 2048
 #: Pieces in a group that is packed as one; bounds a task's memory and time.
 GROUP_PIECES = 512
 #: Words whose ids a worker remembers, in each of two generations.
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 400_000
 #: White space of the tokenizer's patterns; str.split() also splits at 1C to 1F.
 SPACES = "\t-\r \x85\xa0  -     　"
 
 
-class WordIds(dict):
+#: Chunks of these characters (printable ASCII, precomposed Latin letters) are split into
+#: the tokenizer's pre-tokens here; it encodes all others whole.
+SIMPLE = re.compile("[!-~\u00c0-\u012f\u0131-\u017e]+")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level BPE writes for each byte: itself where printable, else
+    the next of the letters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
+
+
+class Remembered(dict):
+    """A dictionary of two generations, so frequent keys survive when it is full."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+
+class WordIds(Remembered):
     """Ids of white-space-free chunks as bytes of little-endian unsigned 32-bit numbers.
-    The tokenizer never joins ids across white space, so chunks can be remembered."""
+    The tokenizer never joins ids across white space, so chunks can be remembered; nor
+    across its pre-tokens, so these are remembered too."""
 
     def __init__(self, tokenizer_file: str, most: int = REMEMBERED_WORDS):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(most)
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.old: dict = {}
-        self.most = most
+        self.model = self.tokenizer.model
+        self.pieces = Remembered(most)
         self.chunk = re.compile(f"[^{SPACES}]+")
         self.odd = re.compile("[\x1c-\x1f]")
+        self.letters = dict(enumerate(byte_letters()))
 
     def split(self, text: str) -> list[str]:
         return self.chunk.findall(text) if self.odd.search(text) else text.split()
 
-    def learn(self, words: set) -> None:
-        """Encode unseen words, many at a time, and assign ids by the words' offsets."""
-        if len(self) > self.most:
-            self.old = dict(self)
-            self.clear()
-        new = []
-        for w in words:
-            if w not in self:
-                if w in self.old:
-                    self[w] = self.old[w]
-                else:
-                    new.append(w)
-        for i in range(0, len(new), 2000):
-            part = new[i : i + 2000]
-            starts = np.cumsum([0] + [len(w) + 1 for w in part])
-            code = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(code.ids, dtype="<u4")
-            at = np.array([a for a, _ in code.offsets], dtype=np.int64)
-            cuts = np.searchsorted(at, starts)
-            raw = ids.tobytes()
-            for w, a, b in zip(part, (cuts[:-1] * 4).tolist(), (cuts[1:] * 4).tolist()):
-                self[w] = raw[a:b]
+    def piece(self, text: str) -> bytes:
+        ids = self.pieces.get(text)
+        if ids is None:
+            ids = self.pieces.old.get(text)
+            if ids is None:
+                written = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+                ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(written)])
+            self.pieces[text] = ids
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            if SIMPLE.fullmatch(word) and "<|" not in word:
+                ids = b"".join(map(self.piece, PIECE.findall(word.lower())))
+            else:
+                ids = b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
+        self[word] = ids
+        return ids
 
     def encode_all(self, texts: list[str], end: bytes):
         """Yield each text's ids, with the end id, as bytes."""
-        split = [self.split(t) for t in texts]
-        self.learn(set().union(*split) if split else set())
         get = self.__getitem__
-        for words in split:
-            yield b"".join(map(get, words)) + end
+        for text in texts:
+            self.turn()
+            self.pieces.turn()
+            yield b"".join(map(get, self.split(text))) + end
 
 
 def token_pieces(tokenizer_file: str, window: int, end_id: int):
