@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 
 from tessera.functions.text import _column, char_ngrams, common_prefix, word_tokens
 
-ZERO, ONE = F.lit(0.0), F.lit(1.0)
+
 
 
 def is_blank(x) -> Column:
@@ -18,11 +18,11 @@ def is_blank(x) -> Column:
 def exact(a, b) -> Column:
     """1 where both are present and equal without case and outer space."""
     a, b = _column(a), _column(b)
-    return F.when(is_blank(a) | is_blank(b), ZERO).when(F.lower(F.trim(a)) == F.lower(F.trim(b)), ONE).otherwise(ZERO)
+    return F.when(is_blank(a) | is_blank(b), 0.0).when(F.lower(F.trim(a)) == F.lower(F.trim(b)), 1.0).otherwise(0.0)
 
 
 def _ratio(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part / whole).otherwise(ZERO)
+    return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
 def set_jaccard(a: Column, b: Column) -> Column:
@@ -56,7 +56,7 @@ def characters(x) -> Column:
 def char_set_jaccard(a, b) -> Column:
     """Jaccard of the sets of characters: the published baseline scores use it for names
     and addresses where a token Jaccard is described."""
-    return F.when(is_blank(a) | is_blank(b), ZERO).otherwise(set_jaccard(characters(a), characters(b)))
+    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(set_jaccard(characters(a), characters(b)))
 
 
 def padded_ngrams(x, n: int = 3) -> Column:
@@ -66,13 +66,13 @@ def padded_ngrams(x, n: int = 3) -> Column:
 
 
 def char_ngram_jaccard(a, b, n: int = 3) -> Column:
-    return F.when(is_blank(a) | is_blank(b), ZERO).otherwise(set_jaccard(padded_ngrams(F.lower(F.trim(_column(a))), n), padded_ngrams(F.lower(F.trim(_column(b))), n)))
+    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(set_jaccard(padded_ngrams(F.lower(F.trim(_column(a))), n), padded_ngrams(F.lower(F.trim(_column(b))), n)))
 
 
 def levenshtein_similarity(a, b) -> Column:
     a, b = _column(a), _column(b)
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when(is_blank(a) | is_blank(b), ZERO).otherwise(_ratio(longest - F.levenshtein(a, b), longest))
+    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(_ratio(longest - F.levenshtein(a, b), longest))
 
 
 def jaro(a: str, b: str) -> float:
@@ -122,12 +122,12 @@ def jaro_winkler(a, b) -> Column:
             out.append(known[pair])
         return pd.Series(out, dtype="float64")
 
-    return F.when(is_blank(a) | is_blank(b), ZERO).otherwise(F.pandas_udf(run, "double")(_column(a), _column(b)))
+    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(F.pandas_udf(run, "double")(_column(a), _column(b)))
 
 
 def prefix_ratio(a, b) -> Column:
     a, b = _column(a), _column(b)
-    return F.when(is_blank(a) | is_blank(b), ZERO).otherwise(_ratio(common_prefix(a, b), F.greatest(F.length(a), F.length(b))))
+    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(_ratio(common_prefix(a, b), F.greatest(F.length(a), F.length(b))))
 
 
 def suffix_ratio(a, b) -> Column:
@@ -137,9 +137,9 @@ def suffix_ratio(a, b) -> Column:
 def compare_field(a, b) -> dict[str, Column]:
     """exact, both present, one missing, both missing, as 0 or 1."""
     x, y = is_blank(a), is_blank(b)
-    flag = lambda c: F.when(c, ONE).otherwise(ZERO)
+    flag = lambda c: F.when(c, 1.0).otherwise(0.0)
     return {"exact": exact(a, b), "both_present": flag(~x & ~y), "one_missing": flag(x != y), "both_missing": flag(x & y)}
 
 
 def bigram_dice(a, b) -> Column:
-    return F.when(is_blank(a) | is_blank(b), ZERO).otherwise(set_dice(char_ngrams(F.lower(_column(a)), 2), char_ngrams(F.lower(_column(b)), 2)))
+    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(set_dice(char_ngrams(F.lower(_column(a)), 2), char_ngrams(F.lower(_column(b)), 2)))

@@ -446,7 +446,7 @@ _GROUPS = {
 }
 for _group, _in in _GROUPS.items():
     _columns = [k for k in _FEATURE_SQL if _in(k)]
-    query(f"WITH {_LABELLED} SELECT source1_entity_id, candidate_entity_id, {', '.join(f'round(({_FEATURE_SQL[k]})::DOUBLE, 4) AS {k}' for k in _columns)} FROM lp", f"feat_{_group}")(
+    query(f"WITH {_LABELLED} SELECT source1_entity_id, candidate_entity_id, {', '.join(f'round(({_FEATURE_SQL[k]})::FLOAT::DOUBLE, 4) AS {k}' for k in _columns)} FROM lp", f"feat_{_group}")(
         lambda s, d, c=tuple(_columns): rounded(_features(s, d).select(ANCHOR, CANDIDATE, *c), 4)
     )
 
