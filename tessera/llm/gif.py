@@ -215,6 +215,8 @@ def decode_gif(data: bytes | None):
     at, common_palette = 13, None
     if flags & 0x80:
         n = 2 << (flags & 7)
+        if len(data) < at + 3 * n:
+            return
         common_palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3)
         at += 3 * n
     canvas = np.zeros((height, width, 3), dtype=np.uint8)
@@ -238,6 +240,8 @@ def decode_gif(data: bytes | None):
         palette = common_palette
         if packed & 0x80:
             n = 2 << (packed & 7)
+            if len(data) < at + 3 * n:
+                break
             palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3)
             at += 3 * n
         if at >= len(data) or palette is None:

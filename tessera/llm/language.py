@@ -5,9 +5,9 @@ log-likelihood for each candidate from a hashed model of its character 1- to 3-g
 Viterbi decoding with a penalty for each switch labels spans of words.  The document's
 language is the one whose spans hold most letters.
 
-If no stretch of words favours another language by more than the penalty, the constant
-path is the optimum, which running sums show at once; only the other documents are decoded
-word by word.
+If no stretch of words favours another language by more than the penalty (nor do a
+document's start and end together), the constant path is the optimum, which running sums
+show at once; only the other documents are decoded word by word.
 
 The model is fitted on a bounded sample (PER_LANGUAGE documents of each language, by a
 fixed hash of the id) of the training fold; every document is labelled on its whole text.
@@ -150,22 +150,24 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     constant = int(scores.sum(0).argmax())
     gain = np.cumsum(scores - scores[:, constant : constant + 1], axis=0, dtype=np.float64)
     low = np.minimum.accumulate(np.vstack([np.zeros((1, k)), gain]), axis=0)[:-1]
-    if (gain - low).max() <= penalty:
+    # No stretch gains more than a switch costs, and a start and an end together do not
+    # either (a path without the constant label saves one switch): nothing beats it.
+    if (gain - low).max() <= penalty and max(gain.max(), 0) + (gain[-1] - low[-1]).max() <= penalty:
         return np.full(n, constant)
-    best = scores[0].astype(np.float64)
-    came = np.zeros((n, k), np.int64)
-    stay = np.arange(k)
-    for t in range(1, n):
-        top = int(best.argmax())
+    rows = scores.astype(np.float64).tolist()
+    best = rows[0]
+    came = []
+    for row in rows[1:]:
+        top = max(range(k), key=best.__getitem__)
         moved = best[top] - penalty
-        switch = best < moved
-        came[t] = np.where(switch, top, stay)
-        best = np.where(switch, moved, best) + scores[t]
-    out = np.empty(n, np.int64)
-    out[-1] = best.argmax()
-    for t in range(n - 1, 0, -1):
-        out[t - 1] = came[t, out[t]]
-    return out
+        came.append([j if b >= moved else top for j, b in enumerate(best)])
+        best = [(b if b >= moved else moved) + x for b, x in zip(best, row)]
+    at = max(range(k), key=best.__getitem__)
+    out = [at]
+    for row in reversed(came):
+        at = row[at]
+        out.append(at)
+    return np.array(out[::-1])
 
 
 def label_rows(model: dict | None, penalty: float, spans: bool, carried: list[str]):
