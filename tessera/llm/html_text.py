@@ -8,8 +8,8 @@ near-good ones, then the short ones; where the two sides differ the nearer one c
 What the page says about itself is evidence as well.  Text in menus, headers, footers,
 sidebars, forms, adverts, notices, comments, scripts and styles (by element, role or class)
 is bad whatever it looks like.  Inside an article or main element, blocks are never bad for
-want of stop words, and undecided blocks have only that element's blocks as neighbours;
-if none is decided they are good, since all of the article is wanted.
+want of stop words, undecided blocks have only that element's blocks as neighbours, and
+they are good unless bad ones stand on both sides, since all of the article is wanted.
 
 Character references are decoded, white space becomes one space, and good blocks are
 joined by a blank line in page order.
@@ -65,7 +65,7 @@ class Block:
     def __init__(self, beside: bool, home: int):
         self.parts: list[str] = []
         self.linked = 0
-        self.beside, self.home = beside, home
+        self.beside, self.home = beside, 0 if beside else home  # what is beside is no neighbour
 
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.parts)).split())
@@ -201,12 +201,16 @@ def second_pass(kinds: list[str], homes: list[int]) -> list[str]:
                 continue
             a, b = left[i], right[i]
             sides = [kinds[j] for j in (a, b) if j is not None]
-            if not sides:
-                out[i] = GOOD if homes[i] or stage == NEAR else BAD
+            if homes[i]:  # of an article only what stands between bad blocks goes
+                out[i] = BAD if sides == [BAD, BAD] else GOOD
+            elif not sides:
+                out[i] = GOOD if stage == NEAR else BAD
+            elif stage == NEAR:
+                out[i] = BAD if sides == [BAD, BAD] else GOOD
             elif len(set(sides)) == 1:
-                out[i] = sides[0] if stage == UNDECIDED or sides[0] == GOOD or len(sides) == 2 and not homes[i] else GOOD
+                out[i] = sides[0]
             else:
-                out[i] = GOOD if stage == NEAR else kinds[a if i - a <= b - i else b]
+                out[i] = kinds[a if i - a <= b - i else b]
         kinds = out
     return kinds
 
