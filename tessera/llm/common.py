@@ -54,6 +54,23 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(df: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a stored table of ids that may be broadcast; beyond it joins shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame):
+    """A stored table of ids, to be broadcast if it is small enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def fold(column: str = "doc_id", modulus: int = 5):
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

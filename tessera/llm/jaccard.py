@@ -84,7 +84,9 @@ class SizeWindows:
                 self.starts.append(max(b + 1, b * 100 // self.percent + 1))
             largest = self.starts[(w + 1) * self.span + 1] - 1
             d = 2 * largest * (100 - self.percent) // (100 + self.percent)
-            spare = 2 + d // 16 if d >= 4 else 0
+            # Parts left empty by chance must stay within the spare ones: wide windows at low
+            # thresholds leave more of them.
+            spare = 2 + d // (16 if self.percent >= 85 else 5) if d >= 4 else 0
             yield w, d + 1 + spare, spare
 
 
@@ -340,11 +342,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_name:
     sc = spark.sparkContext
     kind = docs.schema[id_name].dataType.simpleString()
     bits = sc.broadcast(common_shingles(docs, k))  # 2 ** SKETCH_BITS bits
-    signed = common.store(docs.select(id_name, "text").mapInArrow(key_rows(k, percent, bits, id_name), f"{id_name} {kind}, n_shingles long, print long, keys array<long>"), "keys")
-    keyed = signed.select("print", F.explode("keys").alias("key"))
-    by_key = Window.partitionBy("key").orderBy("print").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    shared = keyed.withColumn("hub", F.first("print").over(by_key)).filter("hub <> print").select(F.col("print").alias("a"), F.col("hub").alias("b")).distinct()
+    # Parts' hashes are the bulk: they go once the families are written.  In the shuffle a
+    # document is its row number, whose high bytes repeat and compress away.
+    full = common.store(docs.select(id_name, "text").mapInArrow(key_rows(k, percent, bits, id_name), f"{id_name} {kind}, n_shingles long, print long, keys array<long>").withColumn("_row", F.monotonically_increasing_id()), "keys")
+    signed = common.store(full.drop("keys"), "signed")
+    by_key = Window.partitionBy("key").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keyed = full.select("_row", F.explode("keys").alias("key"))
+    shared = keyed.withColumn("hub", F.first("_row").over(by_key)).filter("hub <> _row").select("_row", "hub").distinct()
+    of = signed.select("_row", F.col("print").alias("a"))
+    shared = shared.join(of, "_row").join(of.select(F.col("_row").alias("hub"), F.col("a").alias("b")), "hub").select("a", "b")
     family = common.store(common.components(shared, "families"), "family")
+    common.remove(full)
     slot = F.shiftrightunsigned("node", 64 - SCREEN_BITS)
     screen = sc.broadcast(common.bit_table(family.select(slot.alias("s")).distinct(), "s", SCREEN_BITS))  # 2 ** SCREEN_BITS bits
     sets = docs.select("text").mapInArrow(set_rows(k, screen), "print long, shingles binary")
