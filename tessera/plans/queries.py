@@ -183,7 +183,7 @@ def key_extractors(s, d):
 
 def _exact(s, d):
     a, c = V.sides(s, d)
-    return B.key_join(B.exact_keys(a), B.exact_keys(c), V.MOST)
+    return B.key_join(B.exact_keys(a), B.exact_keys(c), V.MOST_BLOCK)
 
 
 _EXACT = f"WITH {V.KEYED}, {V.EXACT_KEYS}, {V.join_cte('ek', 'pe')}"
@@ -201,13 +201,13 @@ for _family in M.STRATEGIES[:6]:
 @query(f"WITH {V.KEYED}, {V.TOKEN_KEYS}, {V.join_cte('nk', 'pn')}, {V.top_cte('pn', 'pt', 10)} SELECT * FROM pt")
 def block_name_token_topk(s, d):
     a, c = V.sides(s, d)
-    return B.top_by_hits(B.key_join(B.name_token_keys(a), B.name_token_keys(c), V.MOST), 10)
+    return B.top_by_hits(B.key_join(B.name_token_keys(a), B.name_token_keys(c), V.MOST_TOKEN), 10)
 
 
 @query(f"WITH {V.KEYED}, {V.ADDRESS_KEYS}, {V.join_cte('ak', 'pa')}, {V.top_cte('pa', 'pt', 10)} SELECT * FROM pt")
 def block_address_token_topk(s, d):
     a, c = V.sides(s, d)
-    return B.top_by_hits(B.key_join(B.address_keys(a), B.address_keys(c), V.MOST), 10)
+    return B.top_by_hits(B.key_join(B.address_keys(a), B.address_keys(c), V.MOST_BLOCK), 50)
 
 
 _GRAM = f"""WITH {V.KEYED}, g AS (SELECT entity_id, country, 'char_ngram' AS strategy, len(gs) AS size, unnest(gs) AS key FROM (SELECT *, list_distinct({V.sql_grams('name', 3, True)}) AS gs FROM kr WHERE len(name) >= 3)), {V.join_cte('g', 'pg', 40)},
@@ -251,7 +251,7 @@ def block_union_provenance(s, d):
 @query(f"WITH {V.KEYED}, {V.EXACT_KEYS}, {V.TOKEN_KEYS}, {V.join_cte('ek', 'pe')}, {V.join_cte('nk', 'pn')}, {V.union_cte(['pe', 'pn'], 'u', 5)} SELECT * FROM u")
 def block_union_cap(s, d):
     a, c = V.sides(s, d)
-    return B.union_pairs(_exact(s, d), B.key_join(B.name_token_keys(a), B.name_token_keys(c), V.MOST), cap=5)
+    return B.union_pairs(_exact(s, d), B.key_join(B.name_token_keys(a), B.name_token_keys(c), V.MOST_TOKEN), cap=5)
 
 
 @query(f"WITH {V.PAIRS} SELECT e.entity_id AS source1_entity_id, coalesce(l.ids, '') AS candidate_entity_ids FROM er e LEFT JOIN (SELECT source1_entity_id AS s, array_to_string(list_sort(list(candidate_entity_id)), ',') AS ids FROM pairs GROUP BY 1) l ON l.s = e.entity_id WHERE e.entity_id LIKE 'S1-%'")
