@@ -710,7 +710,7 @@ _MODEL = ["baseline_score", "name_core_exact_match", "name_token_jaccard", "post
 
 def _fitted(s, d):
     data = T.split_entities(V.scored(s, d).drop("prob"))
-    return data, T.fit_boosted(data.filter("not is_val"), _MODEL, rounds=5, depth=3)
+    return data, T.fit_boosted(data.filter("not is_val"), _MODEL)
 
 
 @query()
@@ -727,7 +727,7 @@ def gbt_importance(s, d):
 @query()
 def forest_train_score(s, d):
     data = T.split_entities(V.scored(s, d).drop("prob"))
-    model = T.fit_forest(data.filter("not is_val"), _MODEL, trees=5, depth=4)
+    model = T.fit_forest(data.filter("not is_val"), _MODEL)
     return E.sweep(T.predict(model, data.filter("is_val"), _MODEL), GRID)
 
 
@@ -736,7 +736,7 @@ def retrain_compare(s, d):
     data, model = _fitted(s, d)
     train, val = data.filter("not is_val"), data.filter("is_val")
     hard = T.mine_hard_negatives(T.predict(model, train, _MODEL)).select(*train.columns)
-    again = T.fit_boosted(train.unionByName(hard), _MODEL, rounds=5, depth=3)
+    again = T.fit_boosted(train.unionByName(hard), _MODEL)
     return T.compare_sweeps(E.sweep(T.predict(model, val, _MODEL), GRID), E.sweep(T.predict(again, val, _MODEL), GRID))
 
 
