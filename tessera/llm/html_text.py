@@ -1,22 +1,31 @@
 """Main text of web pages by two-pass block rules.
 
 A page becomes blocks of text: every block-level tag ends one.  The first pass classifies
-blocks by length, link density and stop-word density: good, bad, near-good or short.  In
-the second pass, undecided blocks inherit from the nearest decided neighbours, first the
-near-good ones, then the short ones; where the two sides differ the nearer one counts.
+blocks by length, link density and stop-word density as good, near-good, bad or short.
+In the second pass near-good and short blocks inherit the label of the nearest decided
+neighbour; near-good ones go first.  A heading looks only at what follows it.
 
-What the page says about itself is evidence as well.  Text in menus, headers, footers,
-sidebars, forms, adverts, notices, comments, scripts and styles (by element, role or class)
-is bad whatever it looks like.  Inside an article or main element, blocks are never bad for
-want of stop words, undecided blocks have only that element's blocks as neighbours, and
-they are good unless bad ones stand on both sides, since all of the article is wanted.
+Distances are measured along the page: a block is one step, and leaving or entering a
+container (div, section, list, ...) is as far as CROSSING blocks, so a short paragraph
+belongs to its siblings rather than to the footer after them.
+
+What a page says about itself gives labels to start from, never results:
+
+* Blocks in nav, footer, aside and like elements, in headers outside an article, in forms,
+  and in containers whose class or id is made of words for menus, adverts, notices,
+  comments and the like are bad neighbours.  A name counts only if all of its parts are
+  such words (``ad-box``, not ``market-share``), and not beside a word for the article
+  (``post comments``).  A form that holds a good block is a wrapper and counts for nothing,
+  and if nothing of a page is left, names count for nothing.
+* The edges of an article or main element are good neighbours, and a block inside one that
+  has too few stop words for a language known here is near-good instead of bad.
 
 Character references are decoded, white space becomes one space, and good blocks are
 joined by a blank line in page order.
 
 Edge cases: a null page is an empty one; a page cut anywhere is read as far as it goes; no
-good block gives the empty string; repeated rows give equal texts; an empty table gives an
-empty result; extra columns are ignored.
+good block gives the empty string; ties of distance go to the earlier neighbour; repeated
+rows give equal texts; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,14 +38,24 @@ from pyspark.sql import DataFrame
 
 from tessera.llm import common
 
-# Elements whose text is never shown or never main text.
-DROPPED = set("script style noscript template iframe object svg canvas head title select option button textarea datalist nav footer aside form dialog menu".split())
+# Elements whose text is never shown.
+HIDDEN = set("script style noscript template iframe object svg canvas head title select option button textarea datalist xmp".split())
 RAW = set("script style textarea title noscript iframe template xmp".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Words in class or id that mark text beside the article.
-BESIDE = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|subscription|paywall|share|sharing|social|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|side-bar|footer|header|masthead|comments?|commentlist|replies|reply|disqus|related|recommended|widget|toolbar|login|signup)(?:$|[\s_-])", re.I)
+# Elements and roles that stand beside an article.
+BESIDE = set("nav footer aside dialog menu".split())
+ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
+CONTAINERS = set("address article aside blockquote body center details dialog div dl fieldset figure footer form header li main menu nav ol section table tbody td tr ul".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+# Words of class names and ids for what stands beside an article, words that
+# say nothing next to those, and words for the article itself.
+MARKERS = set(
+    "ad ads advert adverts advertisement advertisements adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription paywall share sharing social "
+    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar footer header masthead comment comments commentlist respond replies reply disqus related recommended widget widgets toolbar login signup".split()
+)
+NEUTRAL = set("site page global top bottom left right primary secondary main inner outer list item items box bar area block section container wrapper wrap row links link buttons button message posts stories side and the".split())
+ARTICLE_WORDS = set("article articles post entry content story text body hentry".split())
 STOP_WORDS = frozenset(
     # English
     "a about after all also an and any are as at be because been but by can could do for from had has have he her his how i if in into is it its just like more my no not of on one only or other our out over she so some than that the their them then there these they this time to up was we were what when which who will with would you your "
@@ -48,57 +67,86 @@ STOP_WORDS = frozenset(
     "al como con cuando de del desde donde el ella en entre era es esta este está fue ha hay la las le les lo los más me mi muy ni no nos o para pero por porque que se sin sobre son su sus también te tiene un una uno y ya".split()
 )
 
-SHORT = 70
-LONG = 200
-MOST_LINKS = 0.5
-STOP_LOW, STOP_HIGH = 0.2, 0.3
+#: Characters of a short block, and of a block that is good by itself.
+SHORT, LONG = 70, 200
+MOST_LINKS = 0.4
+#: Stop words among words: fewer are bad, more are good in a long block.
+STOP_LOW, STOP_HIGH = 0.06, 0.2
+#: Blocks that the border of a container counts for.
+CROSSING = 4
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+WORDS = re.compile(r"[^\W\d_]+")
 
 GOOD, BAD, NEAR, UNDECIDED = "good", "bad", "near", "short"
 
 
 class Block:
-    __slots__ = ("parts", "linked", "beside", "home")
+    """``beside``: 0, or how its surroundings speak against it (NAMED weaker than PLACED);
+    ``forms``: forms around it; ``home``: the article or main element around it, or 0;
+    ``at``: its place on the page in steps."""
+
+    __slots__ = ("parts", "linked", "beside", "forms", "home", "heading", "at")
 
-    def __init__(self, beside: bool, home: int):
+    def __init__(self, frame: "Frame", at: int):
         self.parts: list[str] = []
-        self.linked = 0
-        self.beside, self.home = beside, 0 if beside else home  # what is beside is no neighbour
+        self.linked, self.heading, self.at = 0, False, at
+        self.beside, self.home, self.forms = frame.beside, frame.home, frame.forms
 
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
-def aside(tag: str, attributes: str, within_article: bool) -> bool:
-    """Does the element hold text beside the article?"""
-    if tag in DROPPED or tag == "header" and not within_article:
-        return True
-    if "=" not in attributes or tag in ("html", "body", "article", "main"):
+class Frame:
+    """An open element and what holds inside it."""
+
+    __slots__ = ("tag", "beside", "home", "forms")
+
+    def __init__(self, tag: str = "", beside: int = 0, home: int = 0, forms: tuple = ()):
+        self.tag, self.beside, self.home, self.forms = tag, beside, home, forms
+
+
+NAMED, PLACED = 1, 2
+
+
+def speaks_against(name: str) -> bool:
+    """Is the class or id made of words for what stands beside an article?"""
+    names = [re.split(r"[-_]+", n) for n in name.lower().split()]
+    if any(n[-1] in ARTICLE_WORDS for n in names):
         return False
+    return any(all(p in MARKERS or p in NEUTRAL or p in ARTICLE_WORDS for p in n) and any(p in MARKERS for p in n) for n in names)
+
+
+def beside(tag: str, attributes: str, within_article: bool) -> int:
+    if tag in BESIDE or tag == "header" and not within_article:
+        return PLACED
+    if "=" not in attributes or tag in ("html", "body", "article", "main"):
+        return 0
+    out = 0
     for name, value in ATTRIBUTE.findall(attributes):
         value = value.strip("\"'")
         if name.lower() == "role":
             if value.lower() in ROLES:
-                return True
-        elif BESIDE.search(value):
-            return True
-    return False
+                return PLACED
+        elif speaks_against(value):
+            out = NAMED
+    return out
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The page's blocks; home numbers the article or main element around a block, or 0."""
     done: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # element, beside, home
-    homes, at, links = 0, 0, 0
-    block = Block(False, 0)
+    root = Frame()
+    stack: list[Frame] = []
+    homes = forms = at = links = step = 0
+    block = Block(root, 0)
 
     def flush():
-        nonlocal block
+        nonlocal block, step
         if block.parts:
             done.append(block)
-        block = Block(stack[-1][1] if stack else False, stack[-1][2] if stack else 0)
+            step += 1
+        block = Block(stack[-1] if stack else root, step)
 
     def say(text: str):
         if text:
@@ -106,6 +154,11 @@ def blocks_of(page: str) -> list[Block]:
             if links:
                 block.linked += len(text.strip())
 
+    def close(i: int):
+        nonlocal step
+        step += CROSSING * sum(f.tag in CONTAINERS for f in stack[i:])
+        del stack[i:]
+
     for m in TOKEN.finditer(page):
         if m.start() < at:
             continue
@@ -117,20 +170,18 @@ def blocks_of(page: str) -> list[Block]:
         if m.group(1):
             if tag == "a":
                 links = max(0, links - 1)
-            if tag in INLINE and not any(s[0] == tag for s in stack):
+            opened = [i for i, f in enumerate(stack) if f.tag == tag]
+            if tag in INLINE and not opened:
                 continue
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    links = links if tag in INLINE else 0
-                    break
             flush()
+            if opened:
+                links = links if tag in INLINE else 0
+                close(opened[-1])
+                block = Block(stack[-1] if stack else root, step)
             continue
         if tag == "br":
             say(" ")
             continue
-        beside, home = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-        own = aside(tag, m.group(3), bool(home))
         if tag in RAW:
             flush()
             end = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(page, at)
@@ -142,83 +193,107 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag == "a":
             links += 1
+        outer = stack[-1] if stack else root
+        own = beside(tag, m.group(3), bool(outer.home))
         if tag in INLINE and not own:
             continue
+        flush()
         links = links if tag in INLINE else 0
-        if tag in ("p", "li", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == tag:
-            stack.pop()
-            beside, home = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-        if tag in ("article", "main") and not beside and not home:
-            homes += 1
-            home = homes
         if m.group(3).rstrip().endswith("/"):
-            flush()
             continue
-        stack.append((tag, beside or own, home))
-        flush()
+        if tag in ("p", "li", "dt", "dd", "tr", "td", "th") and outer.tag == tag:
+            close(len(stack) - 1)
+            outer = stack[-1] if stack else root
+        frame = Frame(tag, PLACED if tag in HIDDEN else max(own, outer.beside), outer.home, outer.forms)
+        if tag in ("article", "main") and not frame.beside and not frame.home:
+            homes += 1
+            frame.home = homes
+        if tag == "form":
+            forms += 1
+            frame.forms = (*outer.forms, forms)
+        step += CROSSING * (tag in CONTAINERS)
+        stack.append(frame)
+        block = Block(frame, step)
+        block.heading = tag in HEADINGS
     say(page[at:])
     flush()
     return done
 
 
-def first_pass(block: Block, text: str) -> str:
+def by_rules(block: Block, text: str) -> str:
+    """The first pass: length, link density, stop-word density."""
     n = len(text)
-    if block.beside:
-        return BAD
     if block.linked > MOST_LINKS * n:
         return BAD
-    words = text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / max(1, len(words))
     if n < SHORT:
-        return BAD if block.linked and not block.home else UNDECIDED
+        return UNDECIDED
+    words = text.lower().split()
+    stops = sum(w in STOP_WORDS for w in WORDS.findall(text.lower())) / max(1, len(words))
     if stops >= STOP_HIGH:
-        return GOOD if n > LONG else NEAR
-    if stops >= STOP_LOW or block.home:
-        return NEAR
-    return BAD
+        return GOOD if n >= LONG else NEAR
+    return NEAR if stops >= STOP_LOW or block.home else BAD
+
 
+def first_pass(blocks: list[Block], texts: list[str], least: int = NAMED) -> list[str]:
+    """Labels by the rules; blocks beside the article (by evidence of ``least`` strength) and
+    blocks of forms without a good block are bad."""
+    kinds = [BAD if b.beside >= least else by_rules(b, t) for b, t in zip(blocks, texts)]
+    wrappers = {f for b, k in zip(blocks, kinds) if k == GOOD for f in b.forms}
+    return [BAD if not wrappers.issuperset(b.forms) else k for b, k in zip(blocks, kinds)]
 
-def second_pass(kinds: list[str], homes: list[int]) -> list[str]:
-    """Undecided blocks take the label of the nearest decided neighbour; near-good ones go
-    first and stay good unless bad blocks stand on both sides."""
-    kinds = list(kinds)
+
+def second_pass(kinds: list[str], places: list[int], homes: list[int], headings: list[bool]) -> list[str]:
+    """Undecided blocks take the label of the nearest decided neighbour.  Blocks of an
+    article see its edges, good and one step off, instead of what lies beyond."""
+    n = len(kinds)
     for stage in (NEAR, UNDECIDED):
+        sides = []
+        for order, step in ((range(n), -1), (range(n - 1, -1, -1), 1)):
+            found: list = [None] * n
+            last = None  # (label, place)
+            previous = None
+            for i in order:
+                if homes[i] and (previous is None or homes[previous] != homes[i]):
+                    last = (GOOD, places[i] + step)
+                found[i] = last
+                if kinds[i] in (GOOD, BAD):
+                    last = (kinds[i], places[i])
+                previous = i
+            sides.append(found)
         out = list(kinds)
-        before: dict = {}
-        left: list = [None] * len(kinds)
-        for i in range(len(kinds)):
-            left[i] = before.get(homes[i] or "page")
-            if kinds[i] in (GOOD, BAD):
-                before[homes[i] or "page"] = i
-        after: dict = {}
-        right: list = [None] * len(kinds)
-        for i in range(len(kinds) - 1, -1, -1):
-            right[i] = after.get(homes[i] or "page")
-            if kinds[i] in (GOOD, BAD):
-                after[homes[i] or "page"] = i
         for i, kind in enumerate(kinds):
             if kind != stage:
                 continue
-            a, b = left[i], right[i]
-            sides = [kinds[j] for j in (a, b) if j is not None]
-            if homes[i]:  # of an article only what stands between bad blocks goes
-                out[i] = BAD if sides == [BAD, BAD] else GOOD
-            elif not sides:
+            left, right = sides[0][i], sides[1][i]
+            if headings[i] and right is not None:
+                out[i] = right[0]
+            elif left is None and right is None:
                 out[i] = GOOD if stage == NEAR else BAD
-            elif stage == NEAR:
-                out[i] = BAD if sides == [BAD, BAD] else GOOD
-            elif len(set(sides)) == 1:
-                out[i] = sides[0]
+            elif left is None or right is None:
+                out[i] = (left or right)[0]
             else:
-                out[i] = kinds[a if i - a <= b - i else b]
+                out[i] = (left if places[i] - left[1] <= right[1] - places[i] else right)[0]
         kinds = out
     return kinds
 
 
-def main_text(page: str | None) -> str:
+def decide(page: str | None):
+    """(texts, labels of the first pass, labels) of a page's blocks."""
     blocks = [(b, t) for b in blocks_of(page or "") if (t := b.text())]
-    kinds = second_pass([first_pass(b, t) for b, t in blocks], [b.home for b, _ in blocks])
-    return "\n\n".join(t for (_, t), k in zip(blocks, kinds) if k == GOOD)
+    texts = [t for _, t in blocks]
+    blocks = [b for b, _ in blocks]
+    for least in (NAMED, PLACED):
+        first = first_pass(blocks, texts, least)
+        homes = [0 if b.beside >= least else b.home for b in blocks]
+        final = second_pass(first, [b.at for b in blocks], homes, [b.heading for b in blocks])
+        if GOOD in final:
+            break
+    return texts, first, final
+
+
+def main_text(page: str | None) -> str:
+    texts, _, kinds = decide(page)
+    return "\n\n".join(t for t, k in zip(texts, kinds) if k == GOOD)
 
 
 def extract_rows(batches):
