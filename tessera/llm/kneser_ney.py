@@ -1,29 +1,39 @@
-"""Interpolated modified Kneser-Ney bigram model.
-
-Spark counts the corpus.  A first pass counts contexts in a table of fixed size, which says
-into how many parts each frequent context is split.  In the second pass every task turns
-its texts into sorted arrays of distinct bigrams, cut into shards by context (and by word
-for split contexts), and a grouped step merges a shard's arrays and writes them as sorted
-hash arrays into the shared folder, with each context's count and how many of its followers
-were seen once, twice and more often.  It passes on each word's number of distinct
-predecessors, and the numbers of split contexts, which a second grouped step merges.
-Scoring workers map the arrays into memory and look up whole batches, shard by shard.
-
-The order is two: what is stored and shuffled stays a small multiple of the input.  Below
-the bigrams is the Kneser-Ney unigram of distinct predecessors, and below that the uniform
-distribution over the vocabulary and one unknown word, each reached by the modified
-discounts (one for counts of one, of two, of three and more).
-
-Token hashes have 48 bits.  Within a shard a bigram is known by 44 bits, so an unseen
-bigram is taken for a seen one with a chance of about one in ten million.
+"""Interpolated modified Kneser-Ney trigram model.
+
+Spark counts the corpus in three steps, each written before the next reads it.
+
+1. Words.  Every task counts its tokens, and a grouped step adds them up into sorted word
+   arrays.  How often each slot of words occurs says into how many parts a frequent word's
+   trigrams are split.
+2. Trigrams (u, v, w).  Every task turns its texts into blobs of distinct trigrams, dealt
+   into shards by the middle word v (and by u too for split words).  A grouped step merges a
+   shard's blobs.  All that a shard needs to know is in it: the counts of its trigrams, each
+   context (u, v) with its total and how many followers occurred once, twice and more often,
+   and each pair (v, w) with its number of distinct words before it.  It writes these as
+   sorted hash arrays into the shared folder.  Pairs of split words go on to a merge of
+   their own.
+3. Each word's number of distinct predecessors, and the totals of split words, are added up.
+
+Scoring workers map the arrays into memory and look up some hundred thousand tokens at a
+time, shard by shard.  Below the trigrams stand the pairs, counted by distinct words before
+them, then the words by distinct predecessors, and below that the uniform distribution over
+the vocabulary and one unknown word; each level is reached by modified discounts (one for
+counts of one, of two, of three and more).
+
+A manifest says which files there are and how long they are; a file that is missing or cut
+stops the job instead of changing scores.
+
+Token hashes have 48 bits.  Within a shard an entry is known by 44 bits, so an unseen
+trigram is taken for a seen one with a chance of about one in ten million.
 
 Edge cases: a null or empty text is the end token alone; an empty training fold leaves the
-uniform distribution; repeated rows count as often as they occur; extra columns are not
-read.
+uniform distribution; empty tables give an empty result; repeated rows count as often as
+they occur; a null id belongs to the fold of the empty text; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import urllib.parse
 import uuid
@@ -36,11 +46,12 @@ from tessera.llm import common
 from tessera.llm.hashing import WordHashes, mixed
 
 END = b"\n"  # never a word
-#: Tokens that a task holds before it turns them into arrays.
+#: Tokens that a task holds before it turns them into arrays, and before it looks them up.
 BUFFER_TOKENS = 2_000_000
+ROUND_TOKENS = 400_000
 #: UTF-8 bytes of text that make one more shard.
-SHARD_BYTES = 4_000_000
-#: log2 of the counters that find frequent contexts, and of a shard's lookup buckets.
+SHARD_BYTES = 12_000_000
+#: log2 of the counters that find frequent words, and of a table's lookup buckets.
 SLOT_BITS = 16
 BUCKET_BITS = 12
 
@@ -49,41 +60,47 @@ def token_hashes(raw: bytes, cache: WordHashes) -> np.ndarray:
     return cache.of([*raw.lower().split(), END]) >> np.uint64(16)
 
 
-def follow(texts: list[np.ndarray], end: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """(contexts, words): the token before a text is an end token."""
-    words = np.concatenate(texts)
-    contexts = np.empty_like(words)
-    contexts[1:] = words[:-1]
-    contexts[0] = end
-    return contexts, words
+def grams(texts: list[np.ndarray], end: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(u, v, w) of every token: the two tokens before a text are end tokens."""
+    w = np.concatenate(texts)
+    v = np.r_[end, w[:-1]]
+    u = np.r_[end, end, w[:-2]][: len(w)]
+    u[np.cumsum([0] + [len(t) for t in texts[:-1]])] = end
+    return u, v, w
 
 
 class Shards:
-    """Where a bigram is kept: by its context, and by its word too in a split context."""
+    """Where things are kept: trigrams by their middle word, and by their first word too if
+    the middle word is split; pairs of split words by both words."""
 
     def __init__(self, n: int, parts: np.ndarray):
-        self.n, self.parts = n, parts  # parts of each slot of contexts
+        self.n, self.parts = n, parts  # parts of each slot of words
 
     @staticmethod
-    def slot(context: np.ndarray) -> np.ndarray:
-        return (mixed(context) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    def slot(word: np.ndarray) -> np.ndarray:
+        return (mixed(word) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
-    def split(self, context: np.ndarray) -> np.ndarray:
-        return self.parts[self.slot(context)] > 1
+    def split(self, word: np.ndarray) -> np.ndarray:
+        return self.parts[self.slot(word)] > 1
 
-    def of(self, context: np.ndarray, word: np.ndarray | None = None) -> np.ndarray:
-        where = context * np.uint64(0x9E3779B97F4A7C15)
-        if word is not None:
-            where = where + mixed(word) % self.parts[self.slot(context)].astype(np.uint64)
-        return self.by_key(where)
+    def of(self, middle: np.ndarray, other: np.ndarray) -> np.ndarray:
+        return self.by_key(middle * np.uint64(0x9E3779B97F4A7C15) + mixed(other) % self.parts[self.slot(middle)].astype(np.uint64))
 
     def by_key(self, key: np.ndarray) -> np.ndarray:
         return (mixed(key + np.uint64(1)) % np.uint64(self.n)).astype(np.int64)
 
 
-def bigram_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """What a shard knows a bigram by: bucket and 32 bits."""
-    return mixed(context * np.uint64(0x94D049BB133111EB) + word) >> np.uint64(32 - BUCKET_BITS)
+def identity(*words: np.ndarray) -> np.ndarray:
+    """64 bits that stand for a sequence of words."""
+    out = words[0]
+    for word in words[1:]:
+        out = mixed(out * np.uint64(0x94D049BB133111EB) + word)
+    return mixed(out)
+
+
+def short_key(x: np.ndarray) -> np.ndarray:
+    """What a shard knows an identity by: bucket and 32 bits."""
+    return x >> np.uint64(32 - BUCKET_BITS)
 
 
 def six_bytes(x: np.ndarray) -> bytes:
@@ -97,203 +114,390 @@ def from_six(raw) -> np.ndarray:
     return full.view("<u8")[:, 0]
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the largest needs (1, 2, 4 or 8)."""
+    most = int(x.max()) if len(x) else 0
+    return x.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8").tobytes()
+
+
+def widened(raw, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // max(1, n)}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
 def runs(x: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal values."""
     return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
 
 
-def count_contexts(batches):
-    """A task's token counts in a table of fixed size."""
-    cache, counts = WordHashes(), np.zeros(1 << SLOT_BITS, dtype=np.int64)
-    for batch in batches:
-        some = [token_hashes(raw, cache) for raw in common.binary_texts(batch)]
-        if some:
-            counts += np.bincount(Shards.slot(np.concatenate(some)), minlength=len(counts))
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], names=["slot", "n"])
-
-
-def count_bigrams(shards: Shards):
-    """Texts as blobs of distinct bigrams: shard, contexts, run lengths, words, counts."""
-
-    def flush(texts, end):
-        contexts, words = follow(texts, end)
-        at = shards.of(contexts, words)
-        order = np.lexsort((words, contexts, at))
-        at, contexts, words = at[order], contexts[order], words[order]
-        new = np.r_[True, (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1]) | (at[1:] != at[:-1])]
-        first = np.flatnonzero(new)
-        count = np.diff(np.r_[first, len(at)]).astype("<u4")
-        at, contexts, words = at[first], contexts[first], words[first]
+def in_order(n: int, *columns: np.ndarray) -> np.ndarray:
+    """Places that sort rows of numbers below n by the first column, then the second, ..."""
+    bits = max(1, int(n).bit_length())
+    if bits * len(columns) > 64:
+        return np.lexsort(columns[::-1])
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        key = key << np.uint64(bits) | c.astype(np.uint64)
+    return np.argsort(key)
+
+
+def new_row(*columns: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal rows."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    differs = np.zeros(len(columns[0]), bool)
+    differs[0] = True
+    for c in columns:
+        differs[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(differs)
+
+
+# ---- counting ----
+
+NUMBERS = "kind int, shard int, keys binary, others binary, numbers binary"
+SUMS3, SUMS2, PAIR, WORD, CONTEXT = range(5)
+
+
+def rows(values: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    columns = list(zip(*values)) if values else [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(columns, kinds)], names=["kind", "shard", "keys", "others", "numbers"])
+
+
+def blobs(table: pa.Table, name: str):
+    return [x.as_buffer() for chunk in table.column(name).chunks for x in chunk]
+
+
+def by_shard(kind: int, at: np.ndarray, keys: np.ndarray, others: np.ndarray | None, numbers: np.ndarray) -> list[tuple]:
+    """Rows of each shard's keys and numbers."""
+    order = np.argsort(at, kind="stable")
+    at, keys, numbers = at[order], keys[order], numbers[order]
+    begin = runs(at)
+    return [
+        (kind, int(at[a]), six_bytes(keys[a:b]), six_bytes(others[order[a:b]]) if others is not None else b"", narrow(numbers[a:b].ravel()))
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(at)])
+    ]
+
+
+def count_words(n: int):
+    """A task's token counts."""
+    place = Shards(n, np.ones(1, np.int64))
+
+    def flush(texts):
+        words, counts = np.unique(np.concatenate(texts), return_counts=True)
+        return rows(by_shard(WORD, place.by_key(words), words, None, counts))
+
+    def run(batches):
+        cache, texts, held = WordHashes(), [], 0
+        for batch in batches:
+            for raw in common.binary_texts(batch):
+                texts.append(token_hashes(raw, cache))
+                held += len(texts[-1])
+                if held >= BUFFER_TOKENS:
+                    yield flush(texts)
+                    texts, held = [], 0
+        if texts:
+            yield flush(texts)
+
+    return run
+
+
+def merge_words(uri: str):
+    """Write a shard's words and counts; report how often each slot occurs."""
+
+    def run(key, table):
+        keys, numbers = added(table)
+        size = Folder(uri).write(f"words-{key[0].as_py()}", [keys, numbers[:, 0]])
+        slots, back = np.unique(Shards.slot(keys), return_inverse=True)
+        n = np.bincount(back, weights=numbers[:, 0].astype(np.float64), minlength=len(slots)).astype(np.int64)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "bytes": pa.array([size], pa.int64()), "words": pa.array([len(keys)], pa.int64()), "slots": pa.array([slots.tolist()], pa.list_(pa.int64())), "n": pa.array([n.tolist()], pa.list_(pa.int64()))})
+
+    return run
+
+
+def added(table: pa.Table, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's distinct keys in order with their added-up numbers."""
+    parts = [from_six(x) for x in blobs(table, "keys")]
+    keys = np.concatenate(parts)
+    numbers = np.concatenate([widened(x, width * len(k)) for x, k in zip(blobs(table, "numbers"), parts)]).reshape(-1, width)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = runs(keys)
+    return keys[first], np.add.reduceat(numbers[order], first, axis=0).astype("<u8")
+
+
+def count_trigrams(shards: Shards):
+    """Texts as blobs of distinct trigrams: shard, the blob's words, runs of middle words
+    (place, length), places of first and last words, counts."""
+
+    def flush(u, v, w, end):
+        head = np.array([u[0], u[min(1, len(u) - 1)], v[0]])
+        words, place = np.unique(np.concatenate([head, w]), return_inverse=True)
+        starts = u == end  # a text's first two tokens; what precedes them is no part of it
+        w = place[3:]
+        u, v = np.r_[place[:2], w[:-2]][: len(w)], np.r_[place[2], w[:-1]]
+        u[starts] = np.searchsorted(words, end)
+        order = in_order(len(words), v, u, w)
+        u, v, w = u[order], v[order], w[order]
+        first = new_row(v, u, w)
+        count = np.diff(np.r_[first, len(v)])
+        u, v, w = u[first], v[first], w[first]
+        at = shards.of(words[v], words[u])
+        order = np.argsort(at.astype(np.uint16) if shards.n <= 1 << 16 else at, kind="stable")
+        at, u, v, w, count = at[order], u[order], v[order], w[order], count[order]
         cuts = np.searchsorted(at, np.arange(shards.n + 1))
-        out: list[list] = [[] for _ in range(5)]
+        own = np.zeros(len(words), np.int64)
+        out: list[list] = [[] for _ in range(7)]
         for s in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = cuts[s], cuts[s + 1]
-            begin = runs(contexts[a:b])
-            values = (s, six_bytes(contexts[a:b][begin]), np.diff(np.r_[begin, b - a]).astype("<u4").tobytes(), six_bytes(words[a:b]), count[a:b].tobytes())
+            used = np.zeros(len(words), bool)
+            for x in (u, v, w):
+                used[x[a:b]] = True
+            kept = np.flatnonzero(used)
+            own[kept] = np.arange(len(kept))
+            begin = runs(v[a:b])
+            values = (s, six_bytes(words[kept]), narrow(own[v[a:b][begin]]), np.diff(np.r_[begin, b - a]).astype("<u4").tobytes(), narrow(own[u[a:b]]), narrow(own[w[a:b]]), narrow(count[a:b]))
             for column, value in zip(out, values):
                 column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["shard", "contexts", "lengths", "words", "counts"])
+        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["shard", "words", "middles", "lengths", "firsts", "lasts", "counts"])
+
+    def cut(texts, end):
+        u, v, w = grams(texts, end)
+        for a in range(0, len(w), BUFFER_TOKENS):
+            yield flush(*(x[a : a + BUFFER_TOKENS] for x in (u, v, w)), end)
 
     def run(batches):
-        cache, texts, n = WordHashes(), [], 0
+        cache, texts, held = WordHashes(), [], 0
         end = token_hashes(b"", cache)[0]
         for batch in batches:
             for raw in common.binary_texts(batch):
                 texts.append(token_hashes(raw, cache))
-                n += len(texts[-1])
-                if n >= BUFFER_TOKENS:
-                    yield flush(texts, end)
-                    texts, n = [], 0
+                held += len(texts[-1])
+                if held >= BUFFER_TOKENS:
+                    yield from cut(texts, end)
+                    texts, held = [], 0
         if texts:
-            yield flush(texts, end)
+            yield from cut(texts, end)
 
     return run
 
 
-BIGRAM_BLOBS = "shard int, contexts binary, lengths binary, words binary, counts binary"
+TRIGRAM_BLOBS = "shard int, words binary, middles binary, lengths binary, firsts binary, lasts binary, counts binary"
 
 
-def blobs(table: pa.Table, name: str):
-    return [x.as_buffer() for chunk in table.column(name).chunks for x in chunk]
+def followers(context: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows in the order of their contexts: first row of each context, and its total and
+    how many of its rows have count one, two, and more."""
+    begin = runs(context)
+    if not len(begin):
+        return begin, np.zeros((0, 4), np.uint64)
+    return begin, np.stack([np.add.reduceat(x.astype(np.uint64), begin) for x in (count, count == 1, count == 2, count >= 3)], axis=1)
 
 
-class Folder:
-    """Arrays in files of the shared folder, on a mounted path or in any store that pyarrow
-    opens.  A file is written under a task's own name and then moved, so a retried task
-    leaves no half file."""
+def of_each(count: np.ndarray) -> np.ndarray:
+    """How many counts are one, two, three, four."""
+    return np.bincount(np.minimum(count, 5).astype(np.int64), minlength=6)[1:5]
 
-    def __init__(self, uri: str):
-        parts = urllib.parse.urlparse(uri)
-        self.uri, self.path = uri, parts.path if parts.scheme in ("", "file") else None
-
-    def write(self, name: str, arrays: list[np.ndarray]) -> None:
-        head = np.array([len(arrays), *(x.nbytes for x in arrays)], dtype="<u8")
-        body = [head.tobytes()]
-        for x in arrays:
-            body += [np.ascontiguousarray(x).tobytes(), bytes(-x.nbytes % 8)]
-        if self.path is not None:
-            os.makedirs(self.path, exist_ok=True)
-            own = f"{self.path}/.{name}-{uuid.uuid4().hex}"
-            with open(own, "wb") as out:
-                out.writelines(body)
-            os.replace(own, f"{self.path}/{name}")
-            return
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(self.uri)
-        store.create_dir(path, recursive=True)
-        with store.open_output_stream(f"{path}/{name}") as out:
-            for part in body:
-                out.write(part)
-
-    def mapped(self, name: str, *kinds) -> list[np.ndarray]:
-        """A file's arrays in mapped memory (of a fetched copy where the store has no path)."""
-        if self.path is not None:
-            raw = np.memmap(f"{self.path}/{name}", np.uint8, "r") if os.path.exists(f"{self.path}/{name}") else None
-        else:
-            raw = self._fetched(name)
-        if raw is None:
-            return [np.zeros(0, k) for k in kinds]
-        n = int(raw[:8].view("<u8")[0])
-        sizes = raw[8 : 8 + 8 * n].view("<u8").astype(np.int64)
-        at, out = 8 + 8 * n, []
-        for kind, size in zip(kinds, sizes.tolist()):
-            out.append(raw[at : at + size].view(kind))
-            at += size + -size % 8
-        return out
 
-    def _fetched(self, name: str):
-        import tempfile
+def sums(kind: int, *numbers) -> tuple:
+    return (kind, 0, b"", b"", np.array(numbers, "<u8").tobytes())
 
-        from pyarrow import fs
 
-        store, path = fs.FileSystem.from_uri(self.uri)
-        if store.get_file_info(f"{path}/{name}").type == fs.FileType.NotFound:
-            return None
-        with tempfile.NamedTemporaryFile() as copy, store.open_input_stream(f"{path}/{name}") as found:
-            while part := found.read(1 << 20):
-                copy.write(part)
-            copy.flush()
-            return np.memmap(copy.name, np.uint8, "r")
+def merge_trigrams(uri: str, shards: Shards):
+    """Merge and write a shard; pass on words, pairs of split words, and sums."""
 
+    def run(key, table):
+        shard = key[0].as_py()
+        found = [from_six(x) for x in blobs(table, "words")]
+        words, back = np.unique(np.concatenate(found), return_inverse=True)
+        columns, upto = ([], [], [], []), 0
+        for held, *raw in zip(found, *(blobs(table, n) for n in ("middles", "lengths", "firsts", "lasts", "counts"))):
+            own, upto = back[upto : upto + len(held)].astype(np.int32), upto + len(held)
+            lengths = np.frombuffer(raw[1], "<u4")
+            n = int(lengths.sum())
+            for column, x in zip(columns, (np.repeat(own[widened(raw[0], len(lengths))], lengths), own[widened(raw[2], n)], own[widened(raw[3], n)], widened(raw[4], n))):
+                column.append(x)
+        v, u, w, count = (np.concatenate(x) for x in columns)
+        order = in_order(len(words), v, u, w)
+        v, u, w, count = v[order], u[order], w[order], count[order]
+        first = new_row(v, u, w)
+        count = np.add.reduceat(count, first)
+        v, u, w = v[first], u[first], w[first]
+
+        context = v.astype(np.int64) << 32 | u
+        begin, numbers = followers(context, count)
+        tables = [*count_table(identity(words[u], words[v], words[w]), count), *context_table(identity(words[u[begin]], words[v[begin]]), numbers)]
+        out = [sums(SUMS3, *of_each(count))]
+
+        order = in_order(len(words), v, w)
+        v, w = v[order], w[order]
+        first = new_row(v, w)
+        before = np.diff(np.r_[first, len(v)])
+        v, w = v[first], w[first]
+        split = shards.split(words)[v]
+        if split.any():
+            out += by_shard(PAIR, shards.of(words[v[split]], words[w[split]]), words[v[split]], words[w[split]], before[split])
+        v, w, before = v[~split], w[~split], before[~split]
+        begin, numbers = followers(v, before)
+        tables += [*count_table(identity(words[v], words[w]), before), *context_table(identity(words[v[begin]]), numbers)]
+        out += pair_rows(words[w], before, shards)
+        size = Folder(uri).write(f"trigrams-{shard}", tables)
+        return pa.Table.from_batches([rows([*out, sums(SUMS3, 0, 0, 0, 0, shard, size)])])
 
-def number_blobs(kind: int, keys: np.ndarray, numbers: np.ndarray, shards: Shards) -> list[tuple]:
-    """Rows (kind, shard of the key, keys, numbers)."""
-    at = shards.by_key(keys)
-    order = np.argsort(at, kind="stable")
-    at, keys, numbers = at[order], keys[order], numbers[order]
-    begin = runs(at)
-    stop = np.r_[begin[1:], len(at)]
-    return [(kind, int(at[a]), six_bytes(keys[a:b]), np.ascontiguousarray(numbers[a:b]).tobytes()) for a, b in zip(begin.tolist(), stop.tolist())]
+    return run
 
 
-NUMBERS = "kind int, shard int, keys binary, numbers binary"
-SUMS, SPLIT, WORD = 0, 1, 2
+def pair_rows(last: np.ndarray, before: np.ndarray, shards: Shards) -> list[tuple]:
+    """What finished pairs pass on: sums, and their last words' numbers of predecessors."""
+    w, times = np.unique(last, return_counts=True)
+    return [sums(SUMS2, *of_each(before)), *by_shard(WORD, shards.by_key(w), w, None, times)]
 
 
-def merge_bigrams(uri: str, shards: Shards):
-    """Merge a shard's bigrams and write them; pass on words and split contexts."""
+def merge_pairs(uri: str, shards: Shards):
+    """Merge and write a shard of split words' pairs; pass on words, contexts and sums."""
 
     def run(key, table):
         shard = key[0].as_py()
-        contexts = np.concatenate([np.repeat(from_six(c), np.frombuffer(n, "<u4")) for c, n in zip(blobs(table, "contexts"), blobs(table, "lengths"))])
-        words = np.concatenate([from_six(x) for x in blobs(table, "words")])
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in blobs(table, "counts")])
-        order = np.lexsort((words, contexts))
-        contexts, words = contexts[order], words[order]
-        first = np.flatnonzero(np.r_[True, (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])])
-        count = np.add.reduceat(counts[order].astype(np.uint64), first)
-        contexts, words = contexts[first], words[first]
-
-        begin = runs(contexts)
-        numbers = np.stack([np.add.reduceat(x.astype(np.uint64), begin) for x in (count, count == 1, count == 2, count >= 3)], axis=1)
-        own = contexts[begin]
-        split = shards.split(own)
-
-        keys = bigram_key(contexts, words)
-        order = np.argsort(keys, kind="stable")
-        keys, held = keys[order], count[order]
-        offsets = np.searchsorted(keys >> np.uint64(32), np.arange((1 << BUCKET_BITS) + 1)).astype("<u4")
-        many = np.flatnonzero(held > 254)
-        Folder(uri).write(f"bigrams-{shard}", [offsets, keys.astype("<u4"), np.minimum(held, 255).astype(np.uint8), many.astype("<u4"), held[many].astype("<u8"), own[~split].astype("<u8"), numbers[~split].astype("<u4")])
-
-        sums = np.bincount(np.minimum(count, 5).astype(np.int64), minlength=6)[1:5].astype("<u8")
-        out = [(SUMS, 0, b"", np.r_[sums, np.uint64((~split).sum()), np.uint64(numbers[~split, 0].sum())].astype("<u8").tobytes())]
-        w, times = np.unique(words, return_counts=True)
-        out += number_blobs(WORD, w, times.astype("<u4"), shards)
-        if split.any():
-            out += number_blobs(SPLIT, own[split], numbers[split].astype("<u8"), shards)
-        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        return pa.table([pa.array(list(x), k) for x, k in zip(zip(*out), kinds)], names=["kind", "shard", "keys", "numbers"])
+        v, w = (np.concatenate([from_six(x) for x in blobs(table, n)]) for n in ("keys", "others"))
+        before = np.concatenate([widened(x, len(k) // 6) for x, k in zip(blobs(table, "numbers"), blobs(table, "keys"))])
+        order = np.lexsort((w, v))
+        v, w, before = v[order], w[order], before[order]
+        first = new_row(v, w)
+        before = np.add.reduceat(before, first)
+        v, w = v[first], w[first]
+        begin, numbers = followers(v, before)
+        out = [*pair_rows(w, before, shards), *by_shard(CONTEXT, shards.by_key(v[begin]), v[begin], None, numbers.astype(np.int64))]
+        size = Folder(uri).write(f"pairs-{shard}", count_table(identity(v, w), before))
+        return pa.Table.from_batches([rows([*out, sums(SUMS2, 0, 0, 0, 0, shard, size)])])
 
     return run
 
 
 def merge_numbers(uri: str):
-    """Merge words' or split contexts' numbers and write them; report totals."""
+    """Add up and write words' predecessors or split words' totals; report sums."""
 
     def run(key, table):
         kind, shard = key[0].as_py(), key[1].as_py()
-        if kind == SUMS:
-            total = np.sum([np.frombuffer(x, "<u8") for x in blobs(table, "numbers")], axis=0).tolist()
-            report = total
-        else:
-            keys = np.concatenate([from_six(x) for x in blobs(table, "keys")])
-            form, width = ("<u4", 1) if kind == WORD else ("<u8", 4)
-            numbers = np.concatenate([np.frombuffer(x, form).reshape(-1, width) for x in blobs(table, "numbers")]).astype("<u8")
-            order = np.argsort(keys, kind="stable")
-            keys = keys[order]
-            first = runs(keys)
-            numbers = np.add.reduceat(numbers[order], first, axis=0)
-            Folder(uri).write(f"{'words' if kind == WORD else 'split'}-{shard}", [keys[first], numbers])
-            held = np.bincount(np.minimum(numbers[:, 0], 5).astype(np.int64), minlength=6)[1:5].tolist()
-            report = [*held, len(first), int(numbers[:, 0].sum())]
-        return pa.table({"kind": pa.array([kind], pa.int32()), **{n: pa.array([int(v)], pa.int64()) for n, v in zip(("n1", "n2", "n3", "n4", "keys", "total"), report)}})
+        keys, numbers = added(table, 1 if kind == WORD else 4)
+        size = Folder(uri).write(f"{'before' if kind == WORD else 'contexts'}-{shard}", [keys, numbers] if kind == WORD else context_table(identity(keys), numbers))
+        report = [*of_each(numbers[:, 0]).tolist(), len(keys), int(numbers[:, 0].sum())]
+        return pa.table({"kind": pa.array([kind], pa.int32()), "shard": pa.array([shard], pa.int32()), "bytes": pa.array([size], pa.int64()), **{n: pa.array([int(x)], pa.int64()) for n, x in zip(("n1", "n2", "n3", "n4", "keys", "total"), report)}})
 
     return run
 
 
+# ---- sorted hash arrays ----
+
+
+def put(x: np.ndarray) -> list[np.ndarray]:
+    """Numbers as bytes, and those above 254 apart."""
+    many = np.flatnonzero(x > 254)
+    return [np.minimum(x, 255).astype(np.uint8), many.astype("<u4"), x[many].astype("<u8")]
+
+
+PUT = (np.uint8, "<u4", "<u8")
+
+
+def get(small: np.ndarray, many: np.ndarray, large: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = small[at].astype(np.float64)
+    full = np.flatnonzero(out == 255)
+    if len(full):
+        out[full] = large[np.searchsorted(many, at[full])]
+    return out
+
+
+def sorted_keys(x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    keys = short_key(x)
+    order = np.argsort(keys)
+    keys = keys[order]
+    return order, [np.searchsorted(keys >> np.uint64(32), np.arange((1 << BUCKET_BITS) + 1).astype(np.uint64)).astype("<u4"), keys.astype("<u4")]
+
+
+def count_table(x: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    order, keys = sorted_keys(x)
+    return [*keys, *put(count[order])]
+
+
+def context_table(x: np.ndarray, numbers: np.ndarray) -> list[np.ndarray]:
+    order, keys = sorted_keys(x)
+    return [*keys, *(a for c in numbers[order].T for a in put(c))]
+
+
+COUNTS = ("<u4", "<u4", *PUT)
+CONTEXTS = ("<u4", "<u4", *PUT * 4)
+
+
+def find(offsets: np.ndarray, held: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the found, where they are held)."""
+    if not len(held):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys = short_key(x)
+    bucket, want = (keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)
+    low, stop = offsets[bucket].astype(np.int64), offsets[bucket + 1].astype(np.int64)
+    high = stop.copy()
+    for _ in range(int((high - low).max()).bit_length()):
+        middle = (low + high) >> 1
+        less = (middle < high) & (held[np.minimum(middle, len(held) - 1)] < want)
+        low = np.where(less, middle + 1, low)
+        high = np.where(less, high, middle)
+    at = np.minimum(low, len(held) - 1)
+    hit = np.flatnonzero((low < stop) & (held[at] == want))
+    return hit, at[hit]
+
+
+class Folder:
+    """Arrays in files of the shared folder, on a mounted path or in any store that pyarrow
+    opens.  A file is written under a task's own name and then moved, so a retried task
+    leaves no half file."""
+
+    def __init__(self, uri: str):
+        parts = urllib.parse.urlparse(uri)
+        self.uri, self.path = uri, parts.path if parts.scheme in ("", "file") else None
+
+    def write(self, name: str, arrays: list[np.ndarray]) -> int:
+        """Returns the file's length."""
+        body = [np.array([len(arrays), *(x.nbytes for x in arrays)], dtype="<u8").tobytes()]
+        for x in arrays:
+            body += [np.ascontiguousarray(x).tobytes(), bytes(-x.nbytes % 8)]
+        if self.path is not None:
+            os.makedirs(self.path, exist_ok=True)
+            own = f"{self.path}/.{name}-{uuid.uuid4().hex}"
+            with open(own, "wb") as out:
+                out.writelines(body)
+            os.replace(own, f"{self.path}/{name}")
+        else:
+            from pyarrow import fs
+
+            store, path = fs.FileSystem.from_uri(self.uri)
+            store.create_dir(path, recursive=True)
+            with store.open_output_stream(f"{path}/{name}") as out:
+                for part in body:
+                    out.write(part)
+        return sum(map(len, body))
+
+    def arrays(self, name: str, size: int, kinds, first: int = 0) -> list[np.ndarray]:
+        """Arrays number ``first`` and following of a file that the manifest gives ``size``
+        bytes: mapped memory, or read into memory where the store has no path."""
+        if not size:
+            return [np.zeros(0, k) for k in kinds]
+        if self.path is not None:
+            raw = np.memmap(f"{self.path}/{name}", np.uint8, "r")
+        else:
+            from pyarrow import fs
+
+            store, path = fs.FileSystem.from_uri(self.uri)
+            with store.open_input_stream(f"{path}/{name}") as found:
+                raw = np.frombuffer(found.read(), np.uint8)
+        if len(raw) != size:
+            raise OSError(f"{self.uri}/{name} has {len(raw)} bytes; the manifest says {size}")
+        n = int(raw[:8].view("<u8")[0])
+        sizes = raw[8 : 8 + 8 * n].view("<u8").astype(np.int64)
+        starts = 8 + 8 * n + np.cumsum(sizes + -sizes % 8) - (sizes + -sizes % 8)
+        return [raw[starts[first + i] : starts[first + i] + sizes[first + i]].view(k) for i, k in enumerate(kinds)]
+
+
+# ---- the model ----
+
+
 def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
     """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more, from the numbers of
     n-grams with counts 1 to 4; fixed ones where a number is missing (tiny corpora)."""
@@ -304,26 +508,58 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
     return [min(max(d, 0.01), i + 0.99) for i, d in enumerate(raw)]
 
 
+def _free_shuffles(spark) -> None:
+    """Shuffle files go when the driver forgets their job, not when it happens to collect."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def train(texts: DataFrame) -> dict:
-    """Count ``texts`` and write the model; returns its folder, shards and constants."""
+    """Count ``texts`` and write the model; returns its folder, manifest and constants."""
     spark = texts.sparkSession
     uri = common.fresh_path(spark, "kneser-ney")
     size = int(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n = max(8, size // SHARD_BYTES)
-    slots = np.zeros(1 << SLOT_BITS, dtype=np.int64)
-    for r in texts.mapInArrow(count_contexts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():  # 2 ** SLOT_BITS rows
-        slots[r.slot] = r.n
+    files = {name: np.zeros(n, np.int64) for name in ("words", "trigrams", "pairs", "before", "contexts")}
+
+    words = texts.mapInArrow(count_words(n), NUMBERS).groupBy("shard").applyInArrow(merge_words(uri), "shard int, bytes long, words long, slots array<long>, n array<long>")
+    words = common.store(words, "words")
+    slots, vocabulary = np.zeros(1 << SLOT_BITS, np.int64), 0
+    for r in words.select("shard", "bytes", "words").collect():  # a row for each shard
+        files["words"][r.shard] = r.bytes
+        vocabulary += r.words
+    for r in words.select(F.explode(F.arrays_zip("slots", "n")).alias("x")).select("x.slots", "x.n").groupBy("slots").agg(F.sum("n").alias("n")).collect():  # 2 ** SLOT_BITS rows
+        slots[r.slots] = r.n
+    common.remove(words)
     total = int(slots.sum())
-    shards = Shards(n, np.maximum(1, -(-slots * n * 4 // max(1, total))) if n > 8 else np.ones_like(slots))
-    bigrams = texts.mapInArrow(count_bigrams(shards), BIGRAM_BLOBS).groupBy("shard").applyInArrow(merge_bigrams(uri, shards), NUMBERS)
-    found = bigrams.groupBy("kind", "shard").applyInArrow(merge_numbers(uri), "kind int, n1 long, n2 long, n3 long, n4 long, keys long, total long")
-    kinds = {r.kind: r for r in found.groupBy("kind").agg(*(F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "keys", "total"))).collect()}
-    model = {"uri": uri, "shards": n, "parts": shards.parts, "tokens": total, "vocabulary": 0, "pairs": 0, "rest": 1.0, "d1": [0.0] * 3, "d2": [0.0] * 3}
+    shards = Shards(n, np.maximum(1, -(-slots * n * 2 // max(1, total))) if n > 8 else np.ones_like(slots))
+
+    trigrams = common.store(texts.mapInArrow(count_trigrams(shards), TRIGRAM_BLOBS).groupBy("shard").applyInArrow(merge_trigrams(uri, shards), NUMBERS), "counts")
+    _free_shuffles(spark)
+    split = common.store(trigrams.filter(F.col("kind") == PAIR).groupBy("shard").applyInArrow(merge_pairs(uri, shards), NUMBERS), "pairs")
+    left = trigrams.filter(F.col("kind") != PAIR).unionByName(split)
+    found = left.filter(F.col("kind").isin(WORD, CONTEXT)).groupBy("kind", "shard").applyInArrow(merge_numbers(uri), "kind int, shard int, bytes long, n1 long, n2 long, n3 long, n4 long, keys long, total long")
+    before = [0] * 6
+    for r in found.collect():  # two rows a shard
+        files["before" if r.kind == WORD else "contexts"][r.shard] = r.bytes
+        if r.kind == WORD:
+            before = [a + b for a, b in zip(before, (r.n1, r.n2, r.n3, r.n4, r["keys"], r.total))]
+    level = {SUMS3: np.zeros(4), SUMS2: np.zeros(4)}
+    for r in left.filter(F.col("kind").isin(SUMS3, SUMS2)).select("kind", "numbers").collect():  # a few rows a shard
+        x = np.frombuffer(r.numbers, "<u8").astype(np.int64)
+        level[r.kind] += x[:4]
+        if len(x) > 4:
+            files["trigrams" if r.kind == SUMS3 else "pairs"][x[4]] = x[5]
+    common.remove(trigrams)
+    common.remove(split)
+    _free_shuffles(spark)
+
+    model = {"uri": uri, "shards": n, "parts": shards.parts, "files": files, "tokens": total, "vocabulary": vocabulary, "pairs": 0, "rest": 1.0, "d1": [0.0] * 3, "d2": [0.0] * 3, "d3": [0.0] * 3}
     if total:
-        sums, words, split = kinds[SUMS], kinds[WORD], kinds.get(SPLIT)
-        d1 = discounts(words.n1, words.n2, words.n3, words.n4)
-        kept = d1[0] * words.n1 + d1[1] * words.n2 + d1[2] * (words["keys"] - words.n1 - words.n2)
-        model |= {"vocabulary": sums["keys"] + (split["keys"] if split else 0), "pairs": words.total, "rest": kept / words.total, "d1": d1, "d2": discounts(sums.n1, sums.n2, sums.n3, sums.n4)}
+        n1, n2, n3, n4, keys, pairs = before
+        d1 = discounts(n1, n2, n3, n4)
+        kept = d1[0] * n1 + d1[1] * n2 + d1[2] * (keys - n1 - n2)
+        model |= {"pairs": pairs, "rest": kept / pairs, "d1": d1, "d2": discounts(*level[SUMS2]), "d3": discounts(*level[SUMS3])}
     return model
 
 
@@ -331,113 +567,122 @@ class Lookup:
     """Reads the model's sorted hash arrays; queries go shard by shard."""
 
     def __init__(self, model: dict):
-        self.folder, self.shards = Folder(model["uri"]), Shards(model["shards"], model["parts"])
+        self.folder, self.files, self.shards = Folder(model["uri"]), model["files"], Shards(model["shards"], model["parts"])
+
+    def arrays(self, name: str, shard: int, kinds, first: int = 0):
+        return self.folder.arrays(f"{name}-{shard}", int(self.files[name][shard]), kinds, first)
 
     @staticmethod
-    def _each(at: np.ndarray):
+    def each(at: np.ndarray):
         order = np.argsort(at, kind="stable")
         begin = runs(at[order])
         for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)]):
             yield int(at[order[a]]), order[a:b]
 
-    @staticmethod
-    def _numbers(held: np.ndarray, numbers: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
-        out = np.zeros((len(keys), width))
-        if len(held):
-            at = np.searchsorted(held, keys)
-            at[at == len(held)] = 0
-            hit = held[at] == keys
-            out[hit] = numbers.reshape(-1, width)[at[hit]]
-        return out
-
-    def words(self, words: np.ndarray) -> np.ndarray:
+    def words(self, name: str, words: np.ndarray) -> np.ndarray:
+        """Counts (``words``) or predecessors (``before``) of words."""
         out = np.zeros(len(words))
-        for shard, some in self._each(self.shards.by_key(words)):
-            held, numbers = self.folder.mapped(f"words-{shard}", "<u8", "<u8")
-            out[some] = self._numbers(held, numbers, words[some], 1)[:, 0]
-        return out
-
-    def contexts(self, contexts: np.ndarray) -> np.ndarray:
-        """Count, and followers seen once, twice, more often."""
-        out = np.zeros((len(contexts), 4))
-        split = self.shards.split(contexts)
-        for is_split in (False, True):
-            chosen = np.flatnonzero(split == is_split)
-            keys = contexts[chosen]
-            for shard, some in self._each(self.shards.by_key(keys) if is_split else self.shards.of(keys)):
-                if is_split:
-                    held, numbers = self.folder.mapped(f"split-{shard}", "<u8", "<u8")
-                else:
-                    held, numbers = self.folder.mapped(f"bigrams-{shard}", "<u4", "<u4", np.uint8, "<u4", "<u8", "<u8", "<u4")[5:]
-                out[chosen[some]] = self._numbers(held, numbers, keys[some], 4)
-        return out
-
-    def bigrams(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(words))
-        keys = bigram_key(contexts, words)
-        for shard, some in self._each(self.shards.of(contexts, words)):
-            offsets, held, counts, many, large = self.folder.mapped(f"bigrams-{shard}", "<u4", "<u4", np.uint8, "<u4", "<u8", "<u8", "<u4")[:5]
-            if not len(held):
-                continue
-            bucket = (keys[some] >> np.uint64(32)).astype(np.int64)
-            want = keys[some].astype(np.uint32)
-            low, high = offsets[bucket].astype(np.int64), offsets[bucket + 1].astype(np.int64)
-            stop = high.copy()
-            for _ in range(int((high - low).max()).bit_length()):
-                middle = (low + high) >> 1
-                less = (middle < high) & (held[np.minimum(middle, len(held) - 1)] < want)
-                low = np.where(less, middle + 1, low)
-                high = np.where(less, high, middle)
-            at = np.minimum(low, len(held) - 1)
-            hit = (low < stop) & (held[at] == want)
-            value = np.where(hit, counts[at], 0).astype(np.float64)
-            full = np.flatnonzero(value == 255)
-            if len(full):
-                value[full] = large[np.searchsorted(many, at[full])]
-            out[some] = value
+        for shard, some in self.each(self.shards.by_key(words)):
+            held, numbers = self.arrays(name, shard, ("<u8", "<u8"))
+            if len(held):
+                at = np.minimum(np.searchsorted(held, words[some]), len(held) - 1)
+                out[some] = np.where(held[at] == words[some], numbers[at], 0)
         return out
 
+    @staticmethod
+    def _count(arrays, x: np.ndarray, out: np.ndarray, some: np.ndarray) -> None:
+        hit, at = find(arrays[0], arrays[1], x)
+        out[some[hit]] = get(*arrays[2:5], at)
 
-def distinct(a: np.ndarray, b: np.ndarray):
-    """Places of distinct pairs and the way back."""
-    order = np.lexsort((b, a))
-    new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]
-    back = np.empty(len(a), dtype=np.int64)
-    back[order] = np.cumsum(new) - 1
-    return order[new], back
+    @staticmethod
+    def _context(arrays, x: np.ndarray, out: np.ndarray, some: np.ndarray) -> None:
+        hit, at = find(arrays[0], arrays[1], x)
+        for j in range(4):
+            out[some[hit], j] = get(*arrays[2 + 3 * j : 5 + 3 * j], at)
+
+    def trigrams(self, u, v, w) -> tuple[np.ndarray, np.ndarray]:
+        """Counts, and totals and followers of their contexts."""
+        count, context = np.zeros(len(w)), np.zeros((len(w), 4))
+        for shard, some in self.each(self.shards.of(v, u)):
+            arrays = self.arrays("trigrams", shard, COUNTS + CONTEXTS)
+            self._context(arrays[5:], identity(u[some], v[some]), context, some)
+            known = some[context[some, 0] > 0]
+            if len(known):
+                self._count(arrays, identity(u[known], v[known], w[known]), count, known)
+        return count, context
+
+    def pairs(self, v, w) -> tuple[np.ndarray, np.ndarray]:
+        count, context = np.zeros(len(w)), np.zeros((len(w), 4))
+        split = self.shards.split(v)
+        whole, cut = np.flatnonzero(~split), np.flatnonzero(split)
+        for shard, some in self.each(self.shards.of(v[whole], w[whole])):
+            some = whole[some]
+            arrays = self.arrays("trigrams", shard, COUNTS + CONTEXTS, len(COUNTS + CONTEXTS))
+            self._count(arrays, identity(v[some], w[some]), count, some)
+            self._context(arrays[5:], identity(v[some]), context, some)
+        for shard, some in self.each(self.shards.of(v[cut], w[cut])):
+            some = cut[some]
+            self._count(self.arrays("pairs", shard, COUNTS), identity(v[some], w[some]), count, some)
+        words, back = np.unique(v[cut], return_inverse=True)
+        found = np.zeros((len(words), 4))
+        for shard, some in self.each(self.shards.by_key(words)):
+            self._context(self.arrays("contexts", shard, CONTEXTS), identity(words[some]), found, some)
+        context[cut] = found[back]
+        return count, context
+
+
+def interpolated(count: np.ndarray, context: np.ndarray, lower: np.ndarray, discount: list[float]) -> np.ndarray:
+    """Discounted share of the context's total, and the lower order's share of the rest."""
+    d = np.array([0.0, *discount])
+    kept = np.maximum(count - d[np.minimum(count, 3).astype(np.int64)], 0)
+    rest = context[:, 1:] @ d[1:]
+    known = context[:, 0] > 0
+    return np.where(known, (kept + rest * lower) / np.where(known, context[:, 0], 1), lower)
+
+
+def token_scores(model: dict, look: Lookup, u, v, w) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every token: is it known, its base score and its log10 probability."""
+    tokens, vocabulary = model["tokens"], model["vocabulary"]
+    words, at = np.unique(w, return_inverse=True)
+    c = look.words("words", words)
+    base = np.log10((c + 1) / (tokens + 1.0 * (vocabulary + 1)))
+    _, some, back = np.unique(identity(u, v, w), return_index=True, return_inverse=True)
+    U, V, W = u[some], v[some], w[some]
+    _, two, back2 = np.unique(identity(V, W), return_index=True, return_inverse=True)
+    before = look.words("before", words)
+    d1 = np.array([0.0, *model["d1"]])
+    p1 = np.maximum(before - d1[np.minimum(before, 3).astype(np.int64)], 0) / max(1, model["pairs"]) + model["rest"] / (vocabulary + 1)
+    p2 = interpolated(*look.pairs(V[two], W[two]), p1[np.searchsorted(words, W[two])], model["d2"])
+    p3 = interpolated(*look.trigrams(U, V, W), p2[back2], model["d3"])
+    return (c > 0)[at], base[at], np.log10(p3)[back]
 
 
 def score_rows(model: dict):
     """Texts with n_tokens, n_known, train_tokens, base_score and score."""
 
+    def flush(look, held, texts, end):
+        sizes = np.array([len(t) for t in texts])
+        starts = np.cumsum(sizes) - sizes
+        u, v, w = grams(texts, end)
+        parts = [token_scores(model, look, *(x[a : a + 2 * ROUND_TOKENS] for x in (u, v, w))) for a in range(0, len(w), 2 * ROUND_TOKENS)]
+        known, base, score = (np.concatenate(x) for x in zip(*parts))
+        values = [sizes, np.add.reduceat(known.astype(np.int64), starts), np.full(len(sizes), model["tokens"]), np.add.reduceat(base, starts), np.add.reduceat(score, starts)]
+        return pa.RecordBatch.from_arrays([*(pa.concat_arrays(x) for x in zip(*held)), *map(pa.array, values)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
     def run(batches):
-        cache, find = WordHashes(), Lookup(model)
+        cache, look, held, texts, n = WordHashes(), Lookup(model), [], [], 0
         end = token_hashes(b"", cache)[0]
-        d2, d1 = np.array([0.0, *model["d2"]]), np.array([0.0, *model["d1"]])
-        tokens, vocabulary = model["tokens"], model["vocabulary"]
-        level = lambda n: np.minimum(n, 3).astype(np.int64)
         for batch in batches:
-            texts = [token_hashes(raw, cache) for raw in common.binary_texts(batch)]
-            if not texts:
+            if not batch.num_rows:
                 continue
-            sizes = np.array([len(t) for t in texts])
-            starts = np.cumsum(sizes) - sizes
-            contexts, words = follow(texts, end)
-            types, word_at = np.unique(words, return_inverse=True)
-            held = find.contexts(types)  # every token of a text is a context once
-            c, before = held[:, 0], find.words(types)
-            low = np.maximum(before - d1[level(before)], 0) / max(1, model["pairs"]) + model["rest"] / (vocabulary + 1)
-            base = np.log10((c + 1) / (tokens + 1.0 * (vocabulary + 1)))
-            context_at = np.r_[np.searchsorted(types, end), word_at[:-1]]
-            some, back = distinct(context_at, word_at)
-            seen = find.bigrams(contexts[some], words[some])
-            of = held[context_at[some]]
-            rest = of[:, 1] * d2[1] + of[:, 2] * d2[2] + of[:, 3] * d2[3]
-            known = of[:, 0] > 0
-            under = low[word_at[some]]
-            p = np.where(known, (np.maximum(seen - d2[level(seen)], 0) + rest * under) / np.where(known, of[:, 0], 1), under)
-            values = [sizes, np.add.reduceat((c > 0)[word_at].astype(np.int64), starts), np.full(len(sizes), tokens), np.add.reduceat(base[word_at], starts), np.add.reduceat(np.log10(p)[back], starts)]
-            yield pa.RecordBatch.from_arrays([*common.keep(batch, "doc_id", "held_out"), *map(pa.array, values)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            texts += [token_hashes(raw, cache) for raw in common.binary_texts(batch)]
+            held.append(common.keep(batch, "doc_id", "held_out"))
+            n = sum(map(len, texts))
+            if n >= ROUND_TOKENS:
+                yield flush(look, held, texts, end)
+                held, texts = [], []
+        if texts:
+            yield flush(look, held, texts, end)
 
     return run
 
