@@ -23,8 +23,9 @@ counts of one, of two, of three and more).
 A manifest says which files there are and how long they are; a file that is missing or cut
 stops the job instead of changing scores.
 
-Token hashes have 48 bits.  Within a shard an entry is known by 44 bits, so an unseen
-trigram is taken for a seen one with a chance of about one in ten million.
+Token hashes have 48 bits.  Within a shard an entry is known by 32 bits and its bucket of
+about BUCKET entries, so an unseen trigram is taken for a seen one with a chance of about
+four in a billion.
 
 Edge cases: a null or empty text is the end token alone; an empty training fold leaves the
 uniform distribution; empty tables give an empty result; repeated rows count as often as
@@ -33,7 +34,9 @@ they occur; a null id belongs to the fold of the empty text; extra columns are n
 
 from __future__ import annotations
 
+import functools
 import gc
+import mmap
 import os
 import urllib.parse
 import uuid
@@ -43,29 +46,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm import common
-from tessera.llm.hashing import WordHashes, mixed
+from tessera.llm.hashing import mixed, word_hashes
 
-END = b"\n"  # never a word
+#: The end token; no word has this hash but by chance.
+END = np.uint64(0xE2D)
 #: Tokens that a task holds before it turns them into arrays, and before it looks them up.
 BUFFER_TOKENS = 2_000_000
-ROUND_TOKENS = 400_000
+ROUND_TOKENS = 500_000
+#: Passes over the texts in which trigrams are counted, each for its share of the shards, so
+#: that so much less lies in the shuffle at a time.
+PASSES = 3
+#: Files that a worker keeps mapped.
+OPEN_FILES = 600
+#: The same where files cannot be mapped and must be read into memory.
+OPEN_FETCHED = 4
 #: UTF-8 bytes of text that make one more shard.
 SHARD_BYTES = 12_000_000
-#: log2 of the counters that find frequent words, and of a table's lookup buckets.
+#: log2 of the counters that find frequent words, and entries of a table for each of its
+#: lookup buckets.
 SLOT_BITS = 16
-BUCKET_BITS = 12
+BUCKET = 16
 
 
-def token_hashes(raw: bytes, cache: WordHashes) -> np.ndarray:
-    return cache.of([*raw.lower().split(), END]) >> np.uint64(16)
+def token_hashes(raws: list[bytes]) -> list[np.ndarray]:
+    """48-bit hashes of each text's words, and the end token."""
+    return [np.append(h >> np.uint64(16), END) for h in word_hashes(raws)]
 
 
-def grams(texts: list[np.ndarray], end: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(u, v, w) of every token: the two tokens before a text are end tokens."""
     w = np.concatenate(texts)
-    v = np.r_[end, w[:-1]]
-    u = np.r_[end, end, w[:-2]][: len(w)]
-    u[np.cumsum([0] + [len(t) for t in texts[:-1]])] = end
+    v = np.r_[END, w[:-1]]
+    u = np.r_[END, END, w[:-2]][: len(w)]
+    u[np.cumsum([0] + [len(t) for t in texts[:-1]])] = END
     return u, v, w
 
 
@@ -98,11 +111,6 @@ def identity(*words: np.ndarray) -> np.ndarray:
     return mixed(out)
 
 
-def short_key(x: np.ndarray) -> np.ndarray:
-    """What a shard knows an identity by: bucket and 32 bits."""
-    return x >> np.uint64(32 - BUCKET_BITS)
-
-
 def six_bytes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8")[:, None].view(np.uint8)[:, :6]).tobytes()
 
@@ -115,13 +123,14 @@ def from_six(raw) -> np.ndarray:
 
 
 def narrow(x: np.ndarray) -> bytes:
-    """Numbers in as few bytes each as the largest needs (1, 2, 4 or 8)."""
+    """Numbers in as few bytes each as the largest needs (1, 2, 4 or 8, said first)."""
     most = int(x.max()) if len(x) else 0
-    return x.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8").tobytes()
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    return bytes([width]) + x.astype(f"<u{width}").tobytes()
 
 
-def widened(raw, n: int) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{len(raw) // max(1, n)}").astype(np.int64) if n else np.zeros(0, np.int64)
+def widened(raw) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{memoryview(raw)[0]}", offset=1).astype(np.int64)
 
 
 def runs(x: np.ndarray) -> np.ndarray:
@@ -178,25 +187,29 @@ def by_shard(kind: int, at: np.ndarray, keys: np.ndarray, others: np.ndarray | N
     ]
 
 
+def held(batches, most: int):
+    """Lists of texts' tokens, with about ``most`` tokens each."""
+    texts: list[np.ndarray] = []
+    n = 0
+    for batch in batches:
+        some = token_hashes(common.binary_texts(batch))
+        texts += some
+        n += sum(map(len, some))
+        if n >= most:
+            yield texts
+            texts, n = [], 0
+    if texts:
+        yield texts
+
+
 def count_words(n: int):
     """A task's token counts."""
     place = Shards(n, np.ones(1, np.int64))
 
-    def flush(texts):
-        words, counts = np.unique(np.concatenate(texts), return_counts=True)
-        return rows(by_shard(WORD, place.by_key(words), words, None, counts))
-
     def run(batches):
-        cache, texts, held = WordHashes(), [], 0
-        for batch in batches:
-            for raw in common.binary_texts(batch):
-                texts.append(token_hashes(raw, cache))
-                held += len(texts[-1])
-                if held >= BUFFER_TOKENS:
-                    yield flush(texts)
-                    texts, held = [], 0
-        if texts:
-            yield flush(texts)
+        for texts in held(batches, BUFFER_TOKENS):
+            words, counts = np.unique(np.concatenate(texts), return_counts=True)
+            yield rows(by_shard(WORD, place.by_key(words), words, None, counts))
 
     return run
 
@@ -206,7 +219,7 @@ def merge_words(uri: str):
 
     def run(key, table):
         keys, numbers = added(table)
-        size = Folder(uri).write(f"words-{key[0].as_py()}", [keys, numbers[:, 0]])
+        size = Folder(uri).write(f"words-{key[0].as_py()}", count_table(identity(keys), numbers[:, 0]))
         slots, back = np.unique(Shards.slot(keys), return_inverse=True)
         n = np.bincount(back, weights=numbers[:, 0].astype(np.float64), minlength=len(slots)).astype(np.int64)
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "bytes": pa.array([size], pa.int64()), "words": pa.array([len(keys)], pa.int64()), "slots": pa.array([slots.tolist()], pa.list_(pa.int64())), "n": pa.array([n.tolist()], pa.list_(pa.int64()))})
@@ -218,65 +231,53 @@ def added(table: pa.Table, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """A shard's distinct keys in order with their added-up numbers."""
     parts = [from_six(x) for x in blobs(table, "keys")]
     keys = np.concatenate(parts)
-    numbers = np.concatenate([widened(x, width * len(k)) for x, k in zip(blobs(table, "numbers"), parts)]).reshape(-1, width)
+    numbers = np.concatenate([widened(x) for x in blobs(table, "numbers")]).reshape(-1, width)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = runs(keys)
     return keys[first], np.add.reduceat(numbers[order], first, axis=0).astype("<u8")
 
 
-def count_trigrams(shards: Shards):
-    """Texts as blobs of distinct trigrams: shard, the blob's words, runs of middle words
-    (place, length), places of first and last words, counts."""
+def count_trigrams(shards: Shards, turn: int):
+    """Texts as blobs of distinct trigrams of the shards that have this turn: shard, the
+    blob's words, runs of middle words (place, length), places of first and last words,
+    counts."""
 
-    def flush(u, v, w, end):
-        head = np.array([u[0], u[min(1, len(u) - 1)], v[0]])
-        words, place = np.unique(np.concatenate([head, w]), return_inverse=True)
-        starts = u == end  # a text's first two tokens; what precedes them is no part of it
-        w = place[3:]
-        u, v = np.r_[place[:2], w[:-2]][: len(w)], np.r_[place[2], w[:-1]]
-        u[starts] = np.searchsorted(words, end)
-        order = in_order(len(words), v, u, w)
-        u, v, w = u[order], v[order], w[order]
-        first = new_row(v, u, w)
-        count = np.diff(np.r_[first, len(v)])
-        u, v, w = u[first], v[first], w[first]
-        at = shards.of(words[v], words[u])
+    def flush(parts):
+        at, u, v, w = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(at.astype(np.uint16) if shards.n <= 1 << 16 else at, kind="stable")
-        at, u, v, w, count = at[order], u[order], v[order], w[order], count[order]
-        cuts = np.searchsorted(at, np.arange(shards.n + 1))
-        own = np.zeros(len(words), np.int64)
+        at, u, v, w = at[order], u[order], v[order], w[order]
+        begin = runs(at)
         out: list[list] = [[] for _ in range(7)]
-        for s in np.flatnonzero(np.diff(cuts)).tolist():
-            a, b = cuts[s], cuts[s + 1]
-            used = np.zeros(len(words), bool)
-            for x in (u, v, w):
-                used[x[a:b]] = True
-            kept = np.flatnonzero(used)
-            own[kept] = np.arange(len(kept))
-            begin = runs(v[a:b])
-            values = (s, six_bytes(words[kept]), narrow(own[v[a:b][begin]]), np.diff(np.r_[begin, b - a]).astype("<u4").tobytes(), narrow(own[u[a:b]]), narrow(own[w[a:b]]), narrow(count[a:b]))
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(at)]):
+            words, place = np.unique(np.concatenate([u[a:b], v[a:b], w[a:b]]), return_inverse=True)
+            first, middle, last = place.reshape(3, -1)
+            order = in_order(len(words), middle, first, last)
+            first, middle, last = first[order], middle[order], last[order]
+            new = new_row(middle, first, last)
+            count = np.diff(np.r_[new, len(order)])
+            first, middle, last = first[new], middle[new], last[new]
+            own = runs(middle)
+            values = (int(at[a]), six_bytes(words), narrow(middle[own]), narrow(np.diff(np.r_[own, len(new)])), narrow(first), narrow(last), narrow(count))
             for column, value in zip(out, values):
                 column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["shard", "words", "middles", "lengths", "firsts", "lasts", "counts"])
 
-    def cut(texts, end):
-        u, v, w = grams(texts, end)
-        for a in range(0, len(w), BUFFER_TOKENS):
-            yield flush(*(x[a : a + BUFFER_TOKENS] for x in (u, v, w)), end)
-
     def run(batches):
-        cache, texts, held = WordHashes(), [], 0
-        end = token_hashes(b"", cache)[0]
-        for batch in batches:
-            for raw in common.binary_texts(batch):
-                texts.append(token_hashes(raw, cache))
-                held += len(texts[-1])
-                if held >= BUFFER_TOKENS:
-                    yield from cut(texts, end)
-                    texts, held = [], 0
-        if texts:
-            yield from cut(texts, end)
+        parts, n = [], 0
+        for texts in held(batches, BUFFER_TOKENS // 4):
+            u, v, w = grams(texts)
+            for a in range(0, len(w), BUFFER_TOKENS):
+                x = [c[a : a + BUFFER_TOKENS] for c in (u, v, w)]
+                at = shards.of(x[1], x[0])
+                mine = np.flatnonzero(at % PASSES == turn)
+                parts.append((at[mine], *(c[mine] for c in x)))
+                n += len(mine)
+                if n >= BUFFER_TOKENS:
+                    yield flush(parts)
+                    parts, n = [], 0
+        if n:
+            yield flush(parts)
 
     return run
 
@@ -312,9 +313,7 @@ def merge_trigrams(uri: str, shards: Shards):
         columns, upto = ([], [], [], []), 0
         for held, *raw in zip(found, *(blobs(table, n) for n in ("middles", "lengths", "firsts", "lasts", "counts"))):
             own, upto = back[upto : upto + len(held)].astype(np.int32), upto + len(held)
-            lengths = np.frombuffer(raw[1], "<u4")
-            n = int(lengths.sum())
-            for column, x in zip(columns, (np.repeat(own[widened(raw[0], len(lengths))], lengths), own[widened(raw[2], n)], own[widened(raw[3], n)], widened(raw[4], n))):
+            for column, x in zip(columns, (np.repeat(own[widened(raw[0])], widened(raw[1])), own[widened(raw[2])], own[widened(raw[3])], widened(raw[4]))):
                 column.append(x)
         v, u, w, count = (np.concatenate(x) for x in columns)
         order = in_order(len(words), v, u, w)
@@ -358,7 +357,7 @@ def merge_pairs(uri: str, shards: Shards):
     def run(key, table):
         shard = key[0].as_py()
         v, w = (np.concatenate([from_six(x) for x in blobs(table, n)]) for n in ("keys", "others"))
-        before = np.concatenate([widened(x, len(k) // 6) for x, k in zip(blobs(table, "numbers"), blobs(table, "keys"))])
+        before = np.concatenate([widened(x) for x in blobs(table, "numbers")])
         order = np.lexsort((w, v))
         v, w, before = v[order], w[order], before[order]
         first = new_row(v, w)
@@ -378,7 +377,7 @@ def merge_numbers(uri: str):
     def run(key, table):
         kind, shard = key[0].as_py(), key[1].as_py()
         keys, numbers = added(table, 1 if kind == WORD else 4)
-        size = Folder(uri).write(f"{'before' if kind == WORD else 'contexts'}-{shard}", [keys, numbers] if kind == WORD else context_table(identity(keys), numbers))
+        size = Folder(uri).write(f"before-{shard}", count_table(identity(keys), numbers[:, 0])) if kind == WORD else Folder(uri).write(f"contexts-{shard}", context_table(identity(keys), numbers))
         report = [*of_each(numbers[:, 0]).tolist(), len(keys), int(numbers[:, 0].sum())]
         return pa.table({"kind": pa.array([kind], pa.int32()), "shard": pa.array([shard], pa.int32()), "bytes": pa.array([size], pa.int64()), **{n: pa.array([int(x)], pa.int64()) for n, x in zip(("n1", "n2", "n3", "n4", "keys", "total"), report)}})
 
@@ -406,10 +405,12 @@ def get(small: np.ndarray, many: np.ndarray, large: np.ndarray, at: np.ndarray)
 
 
 def sorted_keys(x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    keys = short_key(x)
+    """(order, [bucket ends, keys]): an identity is known by its bucket and 32 bits more."""
+    bits = max(8, (len(x) // BUCKET).bit_length())
+    keys = x >> np.uint64(32 - bits)
     order = np.argsort(keys)
     keys = keys[order]
-    return order, [np.searchsorted(keys >> np.uint64(32), np.arange((1 << BUCKET_BITS) + 1).astype(np.uint64)).astype("<u4"), keys.astype("<u4")]
+    return order, [np.searchsorted(keys >> np.uint64(32), np.arange((1 << bits) + 1).astype(np.uint64)).astype("<u4"), keys.astype("<u4")]
 
 
 def count_table(x: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
@@ -418,30 +419,34 @@ def count_table(x: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
 
 
 def context_table(x: np.ndarray, numbers: np.ndarray) -> list[np.ndarray]:
+    """Most contexts have but a few followers seen once or twice and none more often: one byte
+    says so.  The numbers of all others are kept apart."""
     order, keys = sorted_keys(x)
-    return [*keys, *(a for c in numbers[order].T for a in put(c))]
+    numbers = numbers[order]
+    few = (numbers[:, 1] < 15) & (numbers[:, 2] < 15) & (numbers[:, 3] == 0)
+    more = np.flatnonzero(~few)
+    return [*keys, np.where(few, numbers[:, 1] * np.uint64(15) + numbers[:, 2], 255).astype(np.uint8), more.astype("<u4"), *(a for c in numbers[more].T for a in put(c))]
 
 
 COUNTS = ("<u4", "<u4", *PUT)
-CONTEXTS = ("<u4", "<u4", *PUT * 4)
+CONTEXTS = ("<u4", "<u4", np.uint8, "<u4", *PUT * 4)
 
 
-def find(offsets: np.ndarray, held: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places of the found, where they are held)."""
-    if not len(held):
+def find(offsets: np.ndarray, kept: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the found, where they are kept)."""
+    if not len(kept):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys = short_key(x)
-    bucket, want = (keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)
+    bits = (len(offsets) - 1).bit_length() - 1
+    bucket, want = (x >> np.uint64(64 - bits)).astype(np.int64), (x >> np.uint64(32 - bits)).astype(np.uint32)
     low, stop = offsets[bucket].astype(np.int64), offsets[bucket + 1].astype(np.int64)
-    high = stop.copy()
-    for _ in range(int((high - low).max()).bit_length()):
-        middle = (low + high) >> 1
-        less = (middle < high) & (held[np.minimum(middle, len(held) - 1)] < want)
-        low = np.where(less, middle + 1, low)
-        high = np.where(less, high, middle)
-    at = np.minimum(low, len(held) - 1)
-    hit = np.flatnonzero((low < stop) & (held[at] == want))
-    return hit, at[hit]
+    step = 1 << int((stop - low).max()).bit_length()
+    while step := step >> 1:  # as far as keys are smaller
+        probe = low + (step - 1)
+        less = np.take(kept, probe, mode="clip") < want
+        less &= probe < stop
+        low += less * step
+    hit = np.flatnonzero((low < stop) & (np.take(kept, low, mode="clip") == want))
+    return hit, low[hit]
 
 
 class Folder:
@@ -452,6 +457,8 @@ class Folder:
     def __init__(self, uri: str):
         parts = urllib.parse.urlparse(uri)
         self.uri, self.path = uri, parts.path if parts.scheme in ("", "file") else None
+        self.opened: dict[str, tuple] = {}
+        self.most = OPEN_FILES if self.path is not None else OPEN_FETCHED
 
     def write(self, name: str, arrays: list[np.ndarray]) -> int:
         """Returns the file's length."""
@@ -479,8 +486,13 @@ class Folder:
         bytes: mapped memory, or read into memory where the store has no path."""
         if not size:
             return [np.zeros(0, k) for k in kinds]
+        raw, starts, stops = self.opened.get(name) or self._open(name, size)
+        return [raw[starts[i] : stops[i]].view(k) for i, k in enumerate(kinds, first)]
+
+    def _open(self, name: str, size: int):
         if self.path is not None:
-            raw = np.memmap(f"{self.path}/{name}", np.uint8, "r")
+            with open(f"{self.path}/{name}", "rb") as file:
+                raw = np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ), np.uint8)
         else:
             from pyarrow import fs
 
@@ -492,7 +504,10 @@ class Folder:
         n = int(raw[:8].view("<u8")[0])
         sizes = raw[8 : 8 + 8 * n].view("<u8").astype(np.int64)
         starts = 8 + 8 * n + np.cumsum(sizes + -sizes % 8) - (sizes + -sizes % 8)
-        return [raw[starts[first + i] : starts[first + i] + sizes[first + i]].view(k) for i, k in enumerate(kinds)]
+        if len(self.opened) >= self.most:
+            self.opened.pop(next(iter(self.opened)))
+        self.opened[name] = raw, starts.tolist(), (starts + sizes).tolist()
+        return self.opened[name]
 
 
 # ---- the model ----
@@ -534,8 +549,12 @@ def train(texts: DataFrame) -> dict:
     total = int(slots.sum())
     shards = Shards(n, np.maximum(1, -(-slots * n * 2 // max(1, total))) if n > 8 else np.ones_like(slots))
 
-    trigrams = common.store(texts.mapInArrow(count_trigrams(shards), TRIGRAM_BLOBS).groupBy("shard").applyInArrow(merge_trigrams(uri, shards), NUMBERS), "counts")
+    parts = []
+    for turn in range(PASSES):
+        _free_shuffles(spark)
+        parts.append(common.store(texts.mapInArrow(count_trigrams(shards, turn), TRIGRAM_BLOBS).groupBy("shard").applyInArrow(merge_trigrams(uri, shards), NUMBERS), "counts"))
     _free_shuffles(spark)
+    trigrams = functools.reduce(DataFrame.unionByName, parts)
     split = common.store(trigrams.filter(F.col("kind") == PAIR).groupBy("shard").applyInArrow(merge_pairs(uri, shards), NUMBERS), "pairs")
     left = trigrams.filter(F.col("kind") != PAIR).unionByName(split)
     found = left.filter(F.col("kind").isin(WORD, CONTEXT)).groupBy("kind", "shard").applyInArrow(merge_numbers(uri), "kind int, shard int, bytes long, n1 long, n2 long, n3 long, n4 long, keys long, total long")
@@ -550,8 +569,8 @@ def train(texts: DataFrame) -> dict:
         level[r.kind] += x[:4]
         if len(x) > 4:
             files["trigrams" if r.kind == SUMS3 else "pairs"][x[4]] = x[5]
-    common.remove(trigrams)
-    common.remove(split)
+    for part in (*parts, split):
+        common.remove(part)
     _free_shuffles(spark)
 
     model = {"uri": uri, "shards": n, "parts": shards.parts, "files": files, "tokens": total, "vocabulary": vocabulary, "pairs": 0, "rest": 1.0, "d1": [0.0] * 3, "d2": [0.0] * 3, "d3": [0.0] * 3}
@@ -574,21 +593,11 @@ class Lookup:
 
     @staticmethod
     def each(at: np.ndarray):
-        order = np.argsort(at, kind="stable")
+        order = np.argsort(at.astype(np.uint16) if len(at) and at.max() < 1 << 16 else at, kind="stable")
         begin = runs(at[order])
         for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)]):
             yield int(at[order[a]]), order[a:b]
 
-    def words(self, name: str, words: np.ndarray) -> np.ndarray:
-        """Counts (``words``) or predecessors (``before``) of words."""
-        out = np.zeros(len(words))
-        for shard, some in self.each(self.shards.by_key(words)):
-            held, numbers = self.arrays(name, shard, ("<u8", "<u8"))
-            if len(held):
-                at = np.minimum(np.searchsorted(held, words[some]), len(held) - 1)
-                out[some] = np.where(held[at] == words[some], numbers[at], 0)
-        return out
-
     @staticmethod
     def _count(arrays, x: np.ndarray, out: np.ndarray, some: np.ndarray) -> None:
         hit, at = find(arrays[0], arrays[1], x)
@@ -597,8 +606,22 @@ class Lookup:
     @staticmethod
     def _context(arrays, x: np.ndarray, out: np.ndarray, some: np.ndarray) -> None:
         hit, at = find(arrays[0], arrays[1], x)
-        for j in range(4):
-            out[some[hit], j] = get(*arrays[2 + 3 * j : 5 + 3 * j], at)
+        code = arrays[2][at].astype(np.int64)
+        once, twice = np.divmod(code, 15)
+        found = np.stack([once + 2 * twice, once, twice, np.zeros(len(at), np.int64)], axis=1).astype(np.float64)
+        more = np.flatnonzero(code == 255)
+        if len(more):
+            own = np.searchsorted(arrays[3], at[more])
+            for j in range(4):
+                found[more, j] = get(*arrays[4 + 3 * j : 7 + 3 * j], own)
+        out[some[hit]] = found
+
+    def words(self, name: str, words: np.ndarray) -> np.ndarray:
+        """Counts (``words``) or predecessors (``before``) of words."""
+        out = np.zeros(len(words))
+        for shard, some in self.each(self.shards.by_key(words)):
+            self._count(self.arrays(name, shard, COUNTS), identity(words[some]), out, some)
+        return out
 
     def trigrams(self, u, v, w) -> tuple[np.ndarray, np.ndarray]:
         """Counts, and totals and followers of their contexts."""
@@ -635,7 +658,7 @@ def interpolated(count: np.ndarray, context: np.ndarray, lower: np.ndarray, disc
     """Discounted share of the context's total, and the lower order's share of the rest."""
     d = np.array([0.0, *discount])
     kept = np.maximum(count - d[np.minimum(count, 3).astype(np.int64)], 0)
-    rest = context[:, 1:] @ d[1:]
+    rest = context[:, 1] * d[1] + context[:, 2] * d[2] + context[:, 3] * d[3]
     known = context[:, 0] > 0
     return np.where(known, (kept + rest * lower) / np.where(known, context[:, 0], 1), lower)
 
@@ -646,43 +669,42 @@ def token_scores(model: dict, look: Lookup, u, v, w) -> tuple[np.ndarray, np.nda
     words, at = np.unique(w, return_inverse=True)
     c = look.words("words", words)
     base = np.log10((c + 1) / (tokens + 1.0 * (vocabulary + 1)))
-    _, some, back = np.unique(identity(u, v, w), return_index=True, return_inverse=True)
-    U, V, W = u[some], v[some], w[some]
-    _, two, back2 = np.unique(identity(V, W), return_index=True, return_inverse=True)
+    _, some, back = np.unique(identity(v, w), return_index=True, return_inverse=True)
+    V, W = v[some], w[some]
     before = look.words("before", words)
     d1 = np.array([0.0, *model["d1"]])
     p1 = np.maximum(before - d1[np.minimum(before, 3).astype(np.int64)], 0) / max(1, model["pairs"]) + model["rest"] / (vocabulary + 1)
-    p2 = interpolated(*look.pairs(V[two], W[two]), p1[np.searchsorted(words, W[two])], model["d2"])
-    p3 = interpolated(*look.trigrams(U, V, W), p2[back2], model["d3"])
-    return (c > 0)[at], base[at], np.log10(p3)[back]
+    p2 = interpolated(*look.pairs(V, W), p1[at[some]], model["d2"])
+    p3 = interpolated(*look.trigrams(u, v, w), p2[back], model["d3"])
+    return (c > 0)[at], base[at], np.log10(p3)
 
 
 def score_rows(model: dict):
     """Texts with n_tokens, n_known, train_tokens, base_score and score."""
 
-    def flush(look, held, texts, end):
+    def flush(look, kept, texts):
         sizes = np.array([len(t) for t in texts])
         starts = np.cumsum(sizes) - sizes
-        u, v, w = grams(texts, end)
+        u, v, w = grams(texts)
         parts = [token_scores(model, look, *(x[a : a + 2 * ROUND_TOKENS] for x in (u, v, w))) for a in range(0, len(w), 2 * ROUND_TOKENS)]
         known, base, score = (np.concatenate(x) for x in zip(*parts))
         values = [sizes, np.add.reduceat(known.astype(np.int64), starts), np.full(len(sizes), model["tokens"]), np.add.reduceat(base, starts), np.add.reduceat(score, starts)]
-        return pa.RecordBatch.from_arrays([*(pa.concat_arrays(x) for x in zip(*held)), *map(pa.array, values)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.RecordBatch.from_arrays([*(pa.concat_arrays(x) for x in zip(*kept)), *map(pa.array, values)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     def run(batches):
-        cache, look, held, texts, n = WordHashes(), Lookup(model), [], [], 0
-        end = token_hashes(b"", cache)[0]
+        look, kept, texts, n = Lookup(model), [], [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts += [token_hashes(raw, cache) for raw in common.binary_texts(batch)]
-            held.append(common.keep(batch, "doc_id", "held_out"))
-            n = sum(map(len, texts))
+            some = token_hashes(common.binary_texts(batch))
+            texts += some
+            n += sum(map(len, some))
+            kept.append(common.keep(batch, "doc_id", "held_out"))
             if n >= ROUND_TOKENS:
-                yield flush(look, held, texts, end)
-                held, texts = [], []
+                yield flush(look, kept, texts)
+                kept, texts, n = [], [], 0
         if texts:
-            yield flush(look, held, texts, end)
+            yield flush(look, kept, texts)
 
     return run
 
