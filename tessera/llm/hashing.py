@@ -5,10 +5,6 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-import xxhash
-
-#: Words whose hashes a worker remembers.
-REMEMBERED = 400_000
 
 # Odd multipliers that mix the bytes of a word and the words of a gram.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -22,19 +18,6 @@ PLAIN = bytes(32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in ra
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX[1])

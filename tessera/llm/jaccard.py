@@ -8,16 +8,21 @@
    of part hashes, within windows of comparable sizes.  Parts hold uncommon shingles; a
    document with more than e empty parts also hashes parts of its whole set.  No linked
    pair is missed.
-3. Documents that share a part hash form families (connected components); only families
-   meet in tasks, each set travelling once.  A family beyond a task's bound is split into
-   chunks that all hold the same few members; what the chunks leave apart from the
-   family's largest component is then joined with every chunk.
-4. In a task, a signature tree holds OR-combined shingle bitmaps and size ranges.  A dual
+3. Documents that share a part hash form families (connected components).  A task links a
+   document at once to one it has met with the same part hash and passes that hash on only
+   once, so a hash that many documents share costs about a row a task.  Only families meet
+   in cells, each set travelling once.  A family beyond a cell's bound is split into cells
+   that all hold the same few members; what the cells leave apart from the family's largest
+   component is then joined with every member of another component.
+4. In a cell, a signature tree holds OR-combined shingle bitmaps and size ranges.  A dual
    traversal drops node pairs whose largest possible overlap is too small, whose sizes do
    not fit, or which are already one component; at the leaves the exact overlap decides.
 
 Equal sets are collapsed first, by a 64-bit fingerprint, so copies are never paired.
 
+The screen that lets families' documents through has SCREEN_BITS for each of them within
+fixed limits; if it fills, more sets are shuffled and the results stay the same.
+
 Edge cases: a null or wordless text has no shingles and links with nothing, a text of fewer
 words than a shingle is one shingle, repeated rows share a component, an empty table gives
 an empty result, and extra columns are ignored.
@@ -25,34 +30,39 @@ an empty result, and extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tessera.llm import common
-from tessera.llm.hashing import WordHashes, gram_hashes, mixed
+from tessera.llm.hashing import gram_hashes, mixed, word_hashes
 
 #: log2 of the counters of the sketch, and the blocks it is merged in.
 SKETCH_BITS = 22
 SKETCH_BLOCKS = 64
-#: log2 of the bits that screen documents of families; fixed, whatever the data.
-SCREEN_BITS = 22
-#: Documents and shingles that meet in one task.
-TASK_DOCS = 2000
-TASK_SHINGLES = 2_000_000
+#: Bits of the screen for each document of a family, and the limits of its log2.
+SCREEN_BITS = 16
+SCREEN_LEAST, SCREEN_MOST = 20, 27
+#: log2 of the places in which a task remembers part hashes.
+MET_BITS = 19
+#: Documents and shingles of a cell, and of each side of a cell across chunks.
+CELL_DOCS, CELL_SHINGLES = 250, 500_000
+SIDE_DOCS, SIDE_SHINGLES = 1000, 1_000_000
 FANOUT = 8
 
 
-def shingle_set(raw: bytes, k: int, cache: WordHashes) -> np.ndarray:
-    """Distinct shingle hashes in ascending order."""
-    words = raw.lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    h = cache.of(words)
-    if len(words) < k:
-        return mixed(gram_hashes(h, len(words)) + np.uint64(len(words)))
-    return np.unique(gram_hashes(h, k))
+def shingle_sets(raws: list[bytes], k: int) -> list[np.ndarray]:
+    """Distinct shingle hashes of each text in ascending order."""
+    out = []
+    for h in word_hashes(raws):
+        if len(h) < k:
+            out.append(mixed(gram_hashes(h, len(h)) + np.uint64(len(h))) if len(h) else h)
+        else:
+            s = np.sort(gram_hashes(h, k))
+            out.append(s[np.r_[True, s[1:] != s[:-1]]])
+    return out
 
 
 def set_print(s: np.ndarray) -> int:
@@ -106,9 +116,9 @@ def sketch_rows(k: int):
     """Each task's shingle counts, saturating at 255, in blocks."""
 
     def run(batches):
-        cache, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+        counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
-            sets = [shingle_set(raw, k, cache) for raw in common.binary_texts(batch)]
+            sets = shingle_sets(common.binary_texts(batch), k)
             if sets:
                 slots = (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
                 counts += np.bincount(slots, minlength=len(counts)).astype(np.uint32)
@@ -134,7 +144,8 @@ def common_shingles(docs: DataFrame, k: int) -> bytes:
     """Bits of the sketch's counters that stand far above its noise."""
     spread = docs.select("text").mapInArrow(sketch_rows(k), "block int, counts binary")
     # Blocks are merged in two steps, so no task takes the counts of all others.
-    merged = spread.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(16))).groupBy("block", "part").applyInArrow(merge_counts(np.uint8), "block int, counts binary").groupBy("block").applyInArrow(merge_counts(np.uint32), "block int, counts binary")
+    parts = max(16, math.isqrt(docs.rdd.getNumPartitions()))
+    merged = spread.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(parts))).groupBy("block", "part").applyInArrow(merge_counts(np.uint8), "block int, counts binary").groupBy("block").applyInArrow(merge_counts(np.uint32), "block int, counts binary")
     counts = np.zeros((SKETCH_BLOCKS, (1 << SKETCH_BITS) // SKETCH_BLOCKS), dtype=np.uint32)
     for r in merged.collect():  # SKETCH_BLOCKS rows
         counts[r.block] = np.frombuffer(r.counts, np.uint32)
@@ -143,16 +154,44 @@ def common_shingles(docs: DataFrame, k: int) -> bytes:
     return np.packbits(flat > 24 + 3 * mean, bitorder="little").tobytes()
 
 
+class Met:
+    """Part hashes that a task has met, each with the print of a set that has it.  A place
+    holds the last hash that fell there; a forgotten hash is passed on once more."""
+
+    def __init__(self):
+        self.keys = np.zeros(1 << MET_BITS, np.uint64)
+        self.prints = np.zeros(1 << MET_BITS, np.int64)
+
+    def sort_out(self, keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of a batch's hashes are new, for the others the print met before)."""
+        _, first, back = np.unique(keys, return_index=True, return_inverse=True)
+        held = prints[first]
+        own = keys[first]
+        at = (own >> np.uint64(64 - MET_BITS)).astype(np.int64)
+        known = self.keys[at] == own
+        held[known] = self.prints[at[known]]
+        self.keys[at], self.prints[at] = own, held
+        new = np.zeros(len(keys), bool)
+        new[first[~known]] = True
+        return new, held[back]
+
+
+def listed(values: np.ndarray, owners: np.ndarray, n: int) -> pa.ListArray:
+    """Lists of the values of owners 0 to n - 1; owners ascend."""
+    starts = np.searchsorted(owners, np.arange(n + 1))
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, pa.int64()))
+
+
 def key_rows(k: int, percent: int, common_bits, id_name: str):
-    """Documents as (id, n_shingles, print, keys); keys only where a task first meets a set."""
+    """Documents as (id, n_shingles, print, keys, met): keys only where a task first meets
+    both the set and the hash; met: prints of sets that share a hash met before."""
 
     def run(batches):
-        cache, sizes, seen = WordHashes(), SizeWindows(percent), set()
+        sizes, seen, met = SizeWindows(percent), set(), Met()
         bits = np.frombuffer(common_bits.value, np.uint8)
         for batch in batches:
             n, prints, keys = [], [], []
-            for raw in common.binary_texts(batch):
-                s = shingle_set(raw, k, cache)
+            for s in shingle_sets(common.binary_texts(batch), k):
                 n.append(len(s))
                 prints.append(set_print(s) if len(s) else None)
                 found = []
@@ -172,26 +211,32 @@ def key_rows(k: int, percent: int, common_bits, id_name: str):
                                 none = np.setdiff1d(np.arange(parts, dtype=np.uint64), full_part)
                                 found.append(mixed(mixed(none + np.uint64(1)) ^ np.uint64(2 * w + 1)))
                 keys.append(np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64))
-            lengths = np.cumsum([0] + [len(x) for x in keys])
-            listed = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([*common.keep(batch, id_name), pa.array(n, pa.int64()), pa.array(prints, pa.int64()), listed], names=[id_name, "n_shingles", "print", "keys"])
+            if not keys:
+                continue
+            owners = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
+            flat, own = np.concatenate(keys).view(np.uint64), np.array([p or 0 for p in prints], np.int64)[owners]
+            new, held = met.sort_out(flat, own)
+            links = np.unique(np.stack([owners, held], axis=1)[~new & (held != own)], axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [*common.keep(batch, id_name), pa.array(n, pa.int64()), pa.array(prints, pa.int64()), listed(flat[new].view(np.int64), owners[new], len(keys)), listed(links[:, 1], links[:, 0], len(keys))],
+                names=[id_name, "n_shingles", "print", "keys", "met"],
+            )
 
     return run
 
 
-def set_rows(k: int, screen):
+def set_rows(k: int, screen, screen_bits: int):
     """(print, shingles) of the documents that the screen lets through."""
 
     def run(batches):
-        cache, bits, seen = WordHashes(), np.frombuffer(screen.value, np.uint8), set()
+        bits, seen = np.frombuffer(screen.value, np.uint8), set()
         for batch in batches:
             prints, sets = [], []
-            for raw in common.binary_texts(batch):
-                s = shingle_set(raw, k, cache)
+            for s in shingle_sets(common.binary_texts(batch), k):
                 if not len(s):
                     continue
                 p = set_print(s)
-                slot = (p >> (64 - SCREEN_BITS)) & ((1 << SCREEN_BITS) - 1)
+                slot = (p >> (64 - screen_bits)) & ((1 << screen_bits) - 1)
                 if p in seen or not bits[slot >> 3] >> (slot & 7) & 1:
                     continue
                 if len(seen) > 1_000_000:
@@ -344,21 +389,23 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_name:
     bits = sc.broadcast(common_shingles(docs, k))  # 2 ** SKETCH_BITS bits
     # Parts' hashes are the bulk: they go once the families are written.  In the shuffle a
     # document is its row number, whose high bytes repeat and compress away.
-    full = common.store(docs.select(id_name, "text").mapInArrow(key_rows(k, percent, bits, id_name), f"{id_name} {kind}, n_shingles long, print long, keys array<long>").withColumn("_row", F.monotonically_increasing_id()), "keys")
-    signed = common.store(full.drop("keys"), "signed")
+    full = common.store(docs.select(id_name, "text").mapInArrow(key_rows(k, percent, bits, id_name), f"{id_name} {kind}, n_shingles long, print long, keys array<long>, met array<long>").withColumn("_row", F.monotonically_increasing_id()), "keys")
+    signed = common.store(full.drop("keys", "met"), "signed")
     by_key = Window.partitionBy("key").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keyed = full.select("_row", F.explode("keys").alias("key"))
     shared = keyed.withColumn("hub", F.first("_row").over(by_key)).filter("hub <> _row").select("_row", "hub").distinct()
     of = signed.select("_row", F.col("print").alias("a"))
     shared = shared.join(of, "_row").join(of.select(F.col("_row").alias("hub"), F.col("a").alias("b")), "hub").select("a", "b")
+    shared = shared.union(full.select(F.col("print").alias("a"), F.explode("met").alias("b")))
     family = common.store(common.components(shared, "families"), "family")
     common.remove(full)
-    slot = F.shiftrightunsigned("node", 64 - SCREEN_BITS)
-    screen = sc.broadcast(common.bit_table(family.select(slot.alias("s")).distinct(), "s", SCREEN_BITS))  # 2 ** SCREEN_BITS bits
-    sets = docs.select("text").mapInArrow(set_rows(k, screen), "print long, shingles binary")
+    screen_bits = min(SCREEN_MOST, max(SCREEN_LEAST, (SCREEN_BITS * family.count()).bit_length()))
+    slot = F.shiftrightunsigned("node", 64 - screen_bits)
+    screen = sc.broadcast(common.bit_table(family.select(slot.alias("s")).distinct(), "s", screen_bits))  # 2 ** SCREEN_MOST bits at most
+    sets = docs.select("text").mapInArrow(set_rows(k, screen, screen_bits), "print long, shingles binary")
     sets = sets.join(family.withColumnRenamed("node", "print"), "print").groupBy("print", "root").agg(F.first("shingles").alias("shingles"))
     sets = common.store(sets.withColumn("n", (F.octet_length("shingles") / 8).cast("long")), "sets")
-    sizes = common.store(sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TASK_DOCS), F.ceil(F.sum("n") / TASK_SHINGLES)).cast("long").alias("chunks"), F.count("*").alias("members")), "family-sizes")
+    sizes = common.store(sets.groupBy("root").agg(_pieces(CELL_DOCS, CELL_SHINGLES).alias("chunks"), _pieces(SIDE_DOCS, SIDE_SHINGLES).alias("sides"), F.count("*").alias("members")), "family-sizes")
     cut = sets.join(sizes, "root")
     chunk = F.pmod(F.xxhash64("print", F.lit(7)), "chunks")
     # A family in chunks has some sixteen members that sit in every chunk and tie them together.
@@ -371,18 +418,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_name:
     if not sizes.filter("chunks > 1").isEmpty():
         links = links.union(_across_chunks(sets, sizes, labels, percent))
         labels = common.store(common.components(links, "linked"), "labels")
+    common.remove(sets)
     return _with_component(signed, labels, id_name)
 
 
+def _pieces(docs: int, shingles: int):
+    """Pieces of a family with at most about so many documents and shingles."""
+    return F.greatest(F.ceil(F.count("*") / docs), F.ceil(F.sum("n") / shingles)).cast("long")
+
+
 def _across_chunks(sets: DataFrame, sizes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links that the chunks of large families may have missed: those between members
     outside the family's largest component and any member of another component."""
-    large = sizes.filter("chunks > 1").select("root", "chunks")
+    large = sizes.filter("chunks > 1").select("root", F.col("sides").alias("chunks"))
     member = sets.select("root", "print", "n").join(large, "root").join(labels.select(F.col("node").alias("print"), F.col("root").alias("label")), "print", "left").withColumn("label", F.coalesce("label", "print"))
     main = member.groupBy("root", "label").count().groupBy("root").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
     member = common.store(member.join(main, "root"), "members")
     minor = member.filter("label <> main")
-    blocks = minor.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TASK_DOCS), F.ceil(F.sum("n") / TASK_SHINGLES)).cast("long").alias("blocks"))
+    blocks = minor.groupBy("root").agg(_pieces(SIDE_DOCS, SIDE_SHINGLES).alias("blocks"))
     member = member.join(blocks, "root")
     block = F.pmod(F.xxhash64("print", F.lit(13)), "blocks")
     chunk = F.pmod(F.xxhash64("print", F.lit(7)), "chunks")
