@@ -2,11 +2,12 @@
 
 Of every run of ``w`` consecutive k-gram hashes the smallest is kept, in documents and in
 benchmark items alike, so any shared span of ``k + w - 1`` words (a window) shares a kept
-hash: none is missed.  A bit table of fixed size drops document hashes that no item has;
-the rest are joined with the items' hashes, and each hit is extended: the windows around
-it travel along as word strings and are joined with the items' windows, so a match is
-exact.  Items shorter than a window are one window of their own length, matched by whole
-hashes of that length.
+hash: none is missed.  A bit table, sized by the number of items' hashes within fixed
+limits, drops most document hashes that no item has; the rest are joined with the items'
+hashes.  Each hit is extended: the windows around it, which travel along as word strings,
+are joined with the items' distinct windows, so a match is exact, and a window's items are
+looked up once for each document that holds it.  Items shorter than a window are one window
+of their own length, matched by whole hashes of that length.
 
 Edge cases: a null or empty text has no words and no hits; items without words are
 ignored; repeated rows are judged row by row; empty tables give an empty result or no
@@ -20,18 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm import common
-from tessera.llm.hashing import WordHashes, gram_hashes
+from tessera.llm.hashing import LETTERS, gram_hashes, word_hashes
 
 WINDOW = 10
 GRAM = 7
-#: Bits of the table that screens document hashes; its size never depends on the data.
-SCREEN_BITS = 22
-#: Digits, letters and everything beyond ASCII belong to words; A-Z are lower-cased.
-WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
+#: Bits of the table that screens document hashes for each hash of an item, and the limits of
+#: its log2.  A table that fills lets more hashes through to the join; no result changes.
+SCREEN_BITS = 16
+SCREEN_LEAST, SCREEN_MOST = 20, 27
 
 
 def words_of(raw: bytes) -> list[bytes]:
-    return raw.translate(WORD_TABLE).split()
+    return raw.translate(LETTERS).split()
 
 
 def winnow(hashes: np.ndarray, w: int) -> np.ndarray:
@@ -63,15 +64,14 @@ def item_windows(window: int, gram: int):
     """Benchmark items as rows (item_id, length, window text, kept hashes of the window)."""
 
     def run(batches):
-        cache = WordHashes()
         for batch in batches:
             index, length, text, hashes = [], [], [], []
-            for i, raw in enumerate(common.binary_texts(batch)):
+            raws = common.binary_texts(batch)
+            for i, (raw, h) in enumerate(zip(raws, word_hashes(raws, LETTERS))):
                 words = words_of(raw)
                 if not words:
                     continue
                 size = min(window, len(words))
-                h = cache.of(words)
                 for j in range(len(words) - size + 1):
                     index.append(i)
                     length.append(size)
@@ -83,30 +83,32 @@ def item_windows(window: int, gram: int):
     return run
 
 
-def document_hits(screen: bytes, lengths: list[int], window: int, gram: int, id_name: str = "doc_id"):
-    """Documents as rows with the windows around hashes that the screen lets through."""
-    hit_type = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("win", pa.binary())]))
+def document_hits(screen, screen_bits: int, lengths: list[int], window: int, gram: int, id_name: str = "doc_id"):
+    """Documents as rows with the hashes that the screen lets through, each with the windows
+    around it."""
+    hit_type = pa.list_(pa.struct([("hash", pa.int64()), ("length", pa.int32()), ("starts", pa.list_(pa.int32())), ("wins", pa.list_(pa.binary()))]))
 
     def run(batches):
-        cache = WordHashes()
-        bits = np.frombuffer(screen, np.uint8)
+        bits = np.frombuffer(screen.value, np.uint8)
         for batch in batches:
             n_words, hits = [], []
-            for raw in common.binary_texts(batch):
-                words = words_of(raw)
-                n_words.append(len(words))
-                found = []
-                h = cache.of(words)
+            raws = common.binary_texts(batch)
+            for raw, h in zip(raws, word_hashes(raws, LETTERS)):
+                n_words.append(len(h))
+                found, words = [], None
                 for length in lengths:
-                    if len(words) < length:
+                    if len(h) < length:
                         continue
                     at, kept = marks(h, length, window, gram)
-                    slot = (kept >> np.uint64(64 - SCREEN_BITS)).astype(np.int64)
-                    at = at[(bits[slot >> 3] >> (slot & 7) & 1).astype(bool)]
+                    slot = (kept >> np.uint64(64 - screen_bits)).astype(np.int64)
+                    passed = (bits[slot >> 3] >> (slot & 7) & 1).astype(bool)
+                    if not passed.any():
+                        continue
+                    words = words or words_of(raw)
                     around = window - gram if length == window else 0
-                    starts = np.unique((at[:, None] - np.arange(around + 1)).ravel())
-                    starts = starts[(starts >= 0) & (starts + length <= len(words))]
-                    found += [{"start": s, "length": length, "win": b" ".join(words[s : s + length])} for s in starts.tolist()]
+                    for p, value in zip(at[passed].tolist(), kept[passed].astype(np.int64).tolist()):
+                        starts = list(range(max(p - around, 0), min(p, len(words) - length) + 1))
+                        found.append({"hash": value, "length": length, "starts": starts, "wins": [b" ".join(words[s : s + length]) for s in starts]})
                 hits.append(found)
             yield pa.RecordBatch.from_arrays([*common.keep(batch, id_name), pa.array(n_words, pa.int64()), pa.array(hits, hit_type)], names=[id_name, "n_words", "hits"])
 
@@ -114,24 +116,29 @@ def document_hits(screen: bytes, lengths: list[int], window: int, gram: int, id_
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """A row for each document: doc_id, n_words, n_hit, n_items, items (ids as strings,
-    sorted), spans (start and length of each matched window)."""
+    """A row for each document: doc_id, n_words, n_hit, items (ids as strings, sorted)."""
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = items.schema["item_id"].dataType.simpleString()
     wins = common.store(items.select("item_id", "text").mapInArrow(item_windows(window, gram), f"item_id {item_kind}, length int, win binary, kept array<long>"), "windows")
     lengths = sorted(r[0] for r in wins.select("length").distinct().collect())  # `window` rows at most
-    places = wins.select(F.explode("kept").alias("h")).select(F.shiftrightunsigned("h", 64 - SCREEN_BITS).alias("p"))
-    screen = common.bit_table(places, "p", SCREEN_BITS)
-    seen = docs.select("doc_id", "text").mapInArrow(document_hits(screen, lengths, window, gram), f"doc_id {kind}, n_words long, hits array<struct<start:int,length:int,win:binary>>")
+    prints = common.store(wins.select("length", F.explode("kept").alias("hash")).distinct(), "fingerprints")
+    bits = min(SCREEN_MOST, max(SCREEN_LEAST, (SCREEN_BITS * prints.count()).bit_length()))
+    screen = spark.sparkContext.broadcast(common.bit_table(prints.select(F.shiftrightunsigned("hash", 64 - bits).alias("p")), "p", bits))  # 2 ** SCREEN_MOST bits at most
+    held = "array<struct<hash:long,length:int,starts:array<int>,wins:array<binary>>>"
+    seen = docs.select("doc_id", "text").mapInArrow(document_hits(screen, bits, lengths, window, gram), f"doc_id {kind}, n_words long, hits {held}")
     seen = common.store(seen.withColumn("_row", F.monotonically_increasing_id()), "hits")
-    hits = seen.select("_row", F.explode("hits").alias("h")).select("_row", "h.start", "h.length", "h.win")
-    matched = hits.join(wins.select("item_id", "length", "win").distinct(), ["length", "win"])
+    # Fingerprints meet, and what is around those that do is compared word by word.
+    hits = seen.select("_row", F.explode("hits").alias("h")).select("_row", "h.*").join(common.small(prints), ["length", "hash"], "left_semi")
+    hits = hits.select("_row", "length", F.explode(F.arrays_zip("starts", "wins")).alias("w")).select("_row", "length", F.col("w.starts").alias("start"), F.col("w.wins").alias("win")).distinct()
+    known = common.store(wins.select("length", "win").distinct().withColumn("window", F.monotonically_increasing_id()), "known")
+    matched = common.store(hits.join(known, ["length", "win"]).select("_row", "start", "length", "window"), "matched")
     words = (
-        matched.select("_row", "start", "length").distinct()
-        .select("_row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("p")).distinct()
+        matched.select("_row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("p")).distinct()
         .groupBy("_row").agg(F.count("*").alias("n_hit"))
     )
-    which = matched.select("_row", F.col("item_id").cast("string").alias("item")).distinct().groupBy("_row").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    of = wins.join(known, ["length", "win"]).select("window", F.col("item_id").cast("string").alias("item")).distinct()
+    which = matched.select("_row", "window").distinct().join(of, "window").select("_row", "item").distinct().groupBy("_row").agg(F.sort_array(F.collect_list("item")).alias("items"))
     out = seen.select("_row", "doc_id", "n_words").join(words, "_row", "left").join(which, "_row", "left")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
