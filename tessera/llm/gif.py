@@ -2,15 +2,20 @@
 
 The decoder reads LZW code streams, applies global and local palettes, disposal methods,
 transparency and interlacing, and yields the timed, composited frames.  The encoder writes
-indexed frames losslessly.
-
-Edge cases: a null text is the empty text (one padded row of pixels), a broken or null
-media value decodes to no frames, very long payloads become many frames, so the pixel
-height stays below the format's limit.
+indexed frames losslessly.  `op1_gif` writes texts as media into the shared folder, reads
+the stored media back, and returns each text's timed frames with colour histograms.
+
+Edge cases: a null text is the empty text (one padded row of pixels); a null value, one
+that is no GIF, or one whose header claims more than MOST_PIXELS decodes to no frames; a
+damaged or cut one decodes to the frames and pixels before the damage, whatever its bytes;
+very long payloads become many frames, so the pixel height stays below the format's limit;
+repeated rows keep a row each with equal values; an empty table gives an empty result;
+extra columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import struct
 import zlib
@@ -27,6 +32,11 @@ LARGEST = 4096
 ROW_BYTES = 192
 FRAME_ROWS = 512
 FRAME_MS = 40
+#: Pixels of a canvas or frame; a larger claim counts as damage, so memory stays bounded.
+MOST_PIXELS = 1 << 26
+#: Bytes of decoded frames that a worker holds before it hands them on.
+HELD_BYTES = 1 << 24
+BINS = 16
 
 
 @dataclass
@@ -55,6 +65,7 @@ class Shown:
     extra: dict = field(default_factory=dict)
 
 
+@functools.lru_cache(maxsize=16)
 def _widths(min_size: int) -> np.ndarray:
     """Bits of the n-th code after a clear code: the reader's table is one entry behind."""
     first = (1 << min_size) + 2
@@ -108,6 +119,8 @@ def lzw_encode(data: bytes, min_size: int = 8) -> bytes:
 
 def lzw_decode(data: bytes, min_size: int, n: int) -> bytes:
     """At most n pixels; a damaged stream gives what precedes the damage."""
+    if not 1 <= min_size <= 8:
+        return b""
     clear = 1 << min_size
     raw = np.frombuffer(data + b"\0\0\0", dtype=np.uint8).astype(np.uint32)
     n_bits = 8 * len(data)
@@ -212,6 +225,8 @@ def decode_gif(data: bytes | None):
     if not data or data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         return
     width, height, flags, background, _ = struct.unpack_from("<HHBBB", data, 6)
+    if width * height > MOST_PIXELS:
+        return
     at, common_palette = 13, None
     if flags & 0x80:
         n = 2 << (flags & 7)
@@ -244,7 +259,7 @@ def decode_gif(data: bytes | None):
                 break
             palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3)
             at += 3 * n
-        if at >= len(data) or palette is None:
+        if at >= len(data) or palette is None or columns * rows > MOST_PIXELS:
             break
         min_size = data[at]
         stream, at = _read_blocks(data, at + 1)
@@ -276,28 +291,35 @@ def decode_gif(data: bytes | None):
         transparent = None
 
 
-def histogram(pixels: np.ndarray, bins: int = 16) -> np.ndarray:
+def histogram(pixels: np.ndarray, bins: int = BINS) -> np.ndarray:
     """Counts of each channel's values in equal bins: 3 x bins."""
-    level = pixels.reshape(-1, 3).astype(np.int64) * bins >> 8
-    return np.stack([np.bincount(level[:, c], minlength=bins) for c in range(3)])
+    flat = pixels.reshape(-1, 3)
+    return np.stack([np.bincount(flat[:, c], minlength=256).reshape(bins, -1).sum(1) for c in range(3)])
 
 
+HISTOGRAMS = ("hist_r", "hist_g", "hist_b")
 FRAMES = "frame int, start_ms long, delay_ms long, width int, height int, left int, top int, n_visible long, rgb binary, hist_r array<long>, hist_g array<long>, hist_b array<long>"
 
 
 def decode_frames(df: DataFrame, media_col: str, *keys: str) -> DataFrame:
     """A row for each timed frame of each GIF: the composited canvas as RGB bytes with a
-    colour histogram for each channel.  ``keys`` are carried along."""
+    colour histogram for each channel.  ``keys`` are carried along.  A worker holds about
+    HELD_BYTES of frames at a time."""
+    names = [*keys, *(c.strip().split(" ")[0] for c in FRAMES.split(", "))]
 
     def run(batches):
+        rows, held = [], 0
         for pdf in batches:
-            rows = []
             for row in pdf.itertuples(index=False):
-                held = row[: len(keys)]
                 for i, s in enumerate(decode_gif(row[-1])):
                     h = histogram(s.canvas[s.visible])
-                    rows.append((*held, i, s.start_ms, s.delay_ms, s.canvas.shape[1], s.canvas.shape[0], s.box[0], s.box[1], int(s.visible.sum()), s.canvas.tobytes(), *(x.tolist() for x in h)))
-            yield pd.DataFrame(rows, columns=[*keys, *(c.strip().split(" ")[0] for c in FRAMES.split(", "))])
+                    rows.append((*row[: len(keys)], i, s.start_ms, s.delay_ms, s.canvas.shape[1], s.canvas.shape[0], s.box[0], s.box[1], int(s.visible.sum()), s.canvas.tobytes(), *(x.tolist() for x in h)))
+                    held += s.canvas.nbytes
+                    if held >= HELD_BYTES:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     return df.select(*keys, media_col).mapInPandas(run, f"{types}, {FRAMES}" if keys else FRAMES)
@@ -321,26 +343,32 @@ def store_texts(batches):
         yield pa.RecordBatch.from_arrays([*common.keep(batch, "doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
 
+FRAME_TYPE = pa.list_(pa.struct([("start_ms", pa.int64()), ("delay_ms", pa.int64()), ("width", pa.int32()), ("height", pa.int32()), ("n_visible", pa.int64()), *((h, pa.list_(pa.int64())) for h in HISTOGRAMS)]))
+READ = {
+    "payload_bytes": (pa.int64(), "long"), "payload_sha256": (pa.string(), "string"), "tail_crc32": (pa.int64(), "long"), "media_bytes": (pa.int64(), "long"), "media_sha256": (pa.string(), "string"), "feature": (pa.string(), "string"), "n_frames": (pa.int64(), "long"), "duration_ms": (pa.int64(), "long"),
+    "frames": (FRAME_TYPE, "array<struct<start_ms:long,delay_ms:long,width:int,height:int,n_visible:long,hist_r:array<long>,hist_g:array<long>,hist_b:array<long>>>"),
+}
+
+
 def read_media(batches):
-    """Decode stored media, recover the payload from the shown pixels, and describe it."""
-    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames", "duration_ms"]
+    """Decode stored media, recover the payload from the shown pixels, and describe its
+    timed frames."""
     for batch in batches:
-        out: list[list] = [[] for _ in names]
+        out: list[list] = [[] for _ in READ]
         for media in common.keep(batch, "media")[0].to_pylist():
-            parts, grey, frames, clock = [], np.zeros(16, dtype=np.int64), 0, 0
+            parts, frames = [], []
             for s in decode_gif(media):
                 left, top, wide, high = s.box
-                shown = s.canvas[top : top + high, left : left + wide, 0]
-                parts.append(shown.tobytes())
-                grey += np.bincount(shown.ravel() >> 4, minlength=16)
-                frames, clock = frames + 1, clock + s.delay_ms
+                shown = s.canvas[top : top + high, left : left + wide]
+                parts.append(np.ascontiguousarray(shown[..., 0]).tobytes())
+                frames.append({"start_ms": s.start_ms, "delay_ms": s.delay_ms, "width": wide, "height": high, "n_visible": int(s.visible.sum()), **dict(zip(HISTOGRAMS, histogram(shown).tolist()))})
             payload = b"".join(parts)
+            grey = np.sum([f["hist_r"] for f in frames], axis=0) if frames else np.zeros(BINS, np.int64)
             share = (grey * 255 // max(1, grey.sum())).astype(np.uint8).tobytes().hex()
-            values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), f"{share}-{frames}", frames, clock)
+            values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), f"{share}-{len(frames)}", len(frames), sum(f["delay_ms"] for f in frames), frames)
             for column, value in zip(out, values):
                 column.append(value)
-        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([*common.keep(batch, "doc_id", "n_bytes"), *(pa.array(x, t) for x, t in zip(out, types))], names=["doc_id", "n_bytes", *names])
+        yield pa.RecordBatch.from_arrays([*common.keep(batch, "doc_id", "n_bytes"), *(pa.array(x, t) for x, (t, _) in zip(out, READ.values()))], names=["doc_id", "n_bytes", *READ])
 
 
 def texts_as_media(docs: DataFrame) -> DataFrame:
@@ -349,6 +377,6 @@ def texts_as_media(docs: DataFrame) -> DataFrame:
 
 
 def op1_gif(spark, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts_as_media(docs).mapInArrow(read_media, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, duration_ms long")
+    media = common.store(texts_as_media(common.table(spark, sf_dir, "documents")), "media")
+    kind = media.schema["doc_id"].dataType.simpleString()
+    return media.mapInArrow(read_media, f"doc_id {kind}, n_bytes long, " + ", ".join(f"{n} {t}" for n, (_, t) in READ.items()))
