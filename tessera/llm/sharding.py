@@ -1,16 +1,17 @@
 """Sharding over fixed virtual slots.
 
-Records hash into thousands of virtual slots.  Bytes are aggregated per slot, and a
-versioned slot-to-shard map says where each slot lives.  Version 0 deals slots round
-robin; every later version is an edit of the one before: single slots move from the
-fullest shard to the emptiest until moving one more would not help.  A slot that holds far
-more than its share (one id repeated without end) is cut into pieces of bounded size, which
-move on their own.
+Records hash into thousands of virtual slots.  Bytes are aggregated per slot, and a stored,
+versioned slot-to-shard map says where each slot lives.  Version 0 deals slots round robin;
+every later version is an edit of the stored one before: single slots move from the fullest
+shard to the emptiest until moving one more would not help, so all others stay where they
+are.  A slot that holds far more than its share (one record repeated without end) is cut
+into pieces by row, which move on their own; the map knows into how many pieces a slot is
+cut.  Rows are placed by the version that is read back from the store.
 
 Edge cases: a null text has 0 bytes, a null id hashes like any value, repeated rows keep a
-row each (they share a slot), an empty table gives an empty result, and other columns of
-the input pass through untouched unless they bear a result's name, in which case the
-result wins.
+row each (they share a slot, or a slot's pieces), ties of size are broken by slot and shard
+number, an empty table gives an empty result, and the other columns of the input are not
+read, so they may bear any name.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tessera.llm import common
 
@@ -46,10 +47,11 @@ class SlotMap:
         """More (empty) shards; the next rebalance moves slots into them."""
         self.n_shards = max(self.n_shards, n_shards)
 
-    def rebalance(self, sizes: dict) -> int:
-        """Append a version in which slots have moved from full shards to empty ones until
-        no single move narrows the gap.  Returns the number of moved pieces."""
-        owner = dict(self.current)
+    def rebalance(self, sizes: dict, cuts: dict[int, int] | None = None) -> int:
+        """Append a version in which slots of ``cuts`` have at least so many pieces, and slots
+        have moved from full shards to empty ones until no single move narrows the gap.
+        Returns the number of moved pieces."""
+        owner = self._with_pieces(cuts or {})
         held: list[list] = [[] for _ in range(self.n_shards)]
         load = [0] * self.n_shards
         for piece, shard in owner.items():
@@ -103,57 +105,95 @@ class SlotMap:
         found = [j for j in (i - 1, i) if 0 <= j < len(items) and 0 < items[j][0] < gap]
         return min(found, key=lambda j: abs(2 * items[j][0] - gap), default=None)
 
-    def rows(self) -> list[tuple]:
-        return [(v, slot, cut, shard) for v, m in enumerate(self.versions) for (slot, cut), shard in m.items()]
+    def _with_pieces(self, cuts: dict[int, int]) -> dict:
+        """The current version with at least so many pieces of each slot; a new piece starts
+        in the shard that holds the fewest."""
+        owner = dict(self.current)
+        held = [0] * self.n_shards
+        for to in owner.values():
+            held[to] += 1
+        free = [(n, to) for to, n in enumerate(held)]
+        heapq.heapify(free)
+        for slot in sorted(cuts):
+            for cut in range(cuts[slot]):
+                if (slot, cut) not in owner:
+                    n, to = heapq.heappop(free)
+                    owner[(slot, cut)] = to
+                    heapq.heappush(free, (n + 1, to))
+        return owner
+
+    def cuts(self) -> dict[int, int]:
+        """Pieces of each slot in the current version."""
+        out: dict[int, int] = {}
+        for slot, cut in self.current:
+            out[slot] = max(out.get(slot, 0), cut + 1)
+        return out
 
 
-MAP_SCHEMA = "version int, vslot int, cut long, shard int"
+MAP_SCHEMA = "vslot int, cut int, shard int"
 
 
-def save_map(spark, slot_map: SlotMap, path: str) -> None:
-    spark.createDataFrame(slot_map.rows(), MAP_SCHEMA).write.mode("overwrite").parquet(path)
+def save_version(spark, slot_map: SlotMap, path: str, version: int | None = None) -> None:
+    """Write one version (the current one) beside those stored before."""
+    version = len(slot_map.versions) - 1 if version is None else version
+    rows = [(slot, cut, to) for (slot, cut), to in sorted(slot_map.versions[version].items())]
+    spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
 def load_map(spark, path: str, n_shards: int) -> SlotMap:
-    """The map holds at most SLOTS slots plus a bounded number of pieces per version."""
+    """A version has a row for each slot and at most n_shards / PIECE_SHARE further pieces."""
     versions: dict[int, dict] = {}
-    for r in spark.read.parquet(path).collect():
+    for r in spark.read.parquet(path).select("version", "vslot", "cut", "shard").collect():
         versions.setdefault(r.version, {})[(r.vslot, r.cut)] = r.shard
     return SlotMap(n_shards, [versions[v] for v in sorted(versions)])
 
 
-def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16, slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
-    """Assign every row to a shard so that shard sizes (UTF-8 bytes plus ``overhead``) are
-    nearly equal.  Returns the rows (id, size, text_crc32, vslot, shard, slot: the row's
-    place in its shard, gapless from 0) and the versioned map."""
+def new_map(spark, path: str, n_shards: int, slots: int = SLOTS) -> None:
+    """Store version 0: every slot, whole, dealt round robin."""
+    save_version(spark, SlotMap.initial([(s, 0) for s in range(slots)], n_shards), path)
+
+
+def shard(docs: DataFrame, n_shards: int, path: str, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16, slots: int = SLOTS) -> DataFrame:
+    """Place every row by the map stored at ``path``, after adding a version in which shard
+    sizes (UTF-8 bytes plus ``overhead``) are nearly equal.  Rows: id, size, text_crc32,
+    vslot, shard, slot (the row's place in its shard, gapless from 0), version."""
     spark = docs.sparkSession
     utf8 = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = docs.select(
-        F.col(id_col),
-        (F.octet_length(utf8) + F.lit(overhead)).cast("long").alias("size"),
-        F.crc32(utf8).alias("text_crc32"),
-    ).withColumn("vslot", F.pmod(F.xxhash64(F.col(id_col), F.col("text_crc32"), F.col("size")), F.lit(slots)).cast("int"))
-    placed = Window.partitionBy("vslot").orderBy(F.col(id_col).asc_nulls_first(), "text_crc32", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = common.store(rows.withColumn("_upto", F.sum("size").over(placed)).withColumn("_n", F.row_number().over(placed).cast("long")), "slots")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    piece = max(1, int(total / max(1, n_shards) * PIECE_SHARE))
-    rows = rows.withColumn("cut", F.floor((F.col("_upto") - F.col("size")) / F.lit(piece)).cast("long"))
-    # At most `slots` rows plus total / piece = n_shards / PIECE_SHARE rows reach the driver.
-    cells = rows.groupBy("vslot", "cut").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), F.min("_n").alias("first")).collect()
-    sizes = {(c.vslot, c.cut): c.bytes for c in cells}
-    slot_map = SlotMap.initial(list(sizes), n_shards)
-    slot_map.rebalance(sizes)
+    rows = docs.select(F.col(id_col), (F.octet_length(utf8) + F.lit(overhead)).cast("long").alias("size"), F.crc32(utf8).alias("text_crc32"))
+    rows = rows.withColumn("vslot", F.pmod(F.xxhash64(F.col(id_col), F.col("text_crc32"), F.col("size")), F.lit(slots)).cast("int"))
+    rows = common.store(rows.withColumn("_row", F.monotonically_increasing_id()), "slots")
+    held = {r.vslot: r.bytes for r in rows.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect()}  # a row a slot
+    piece = max(1, int(sum(held.values()) / max(1, n_shards) * PIECE_SHARE))
+    slot_map = load_map(spark, path, n_shards)
+    known = slot_map.cuts()
+    # A slot is cut only where it holds two pieces' bytes or more, and never joined again.
+    cuts = {slot: max(known.get(slot, 1), size // piece) for slot, size in held.items()}
+    many = [(slot, n) for slot, n in sorted((known | cuts).items()) if n > 1]
+    if many:
+        cut_rows = F.broadcast(spark.createDataFrame(many, "vslot int, _cuts int"))  # a row a slot at most
+        rows = rows.join(cut_rows, "vslot", "left").withColumn("cut", F.coalesce(F.pmod(F.xxhash64("_row"), "_cuts"), F.lit(0)).cast("int")).drop("_cuts")
+    else:
+        rows = rows.withColumn("cut", F.lit(0))
+    # At most `slots` rows plus n_shards / PIECE_SHARE rows reach the driver.
+    cells = rows.groupBy("vslot", "cut").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
+    slot_map.rebalance({(c.vslot, c.cut): c.bytes for c in cells}, cuts)
+    version = len(slot_map.versions) - 1
+    save_version(spark, slot_map, path)
+    stored = load_map(spark, path, n_shards).current
     base, upto = [], [0] * n_shards
     for c in sorted(cells, key=lambda c: (c.vslot, c.cut)):
-        to = slot_map.current[(c.vslot, c.cut)]
-        base.append((c.vslot, c.cut, to, upto[to] - c.first))
+        to = stored[(c.vslot, c.cut)]
+        base.append((c.vslot, c.cut, to, upto[to]))
         upto[to] += c.n
-    plan = spark.createDataFrame(base, T.StructType([T.StructField("vslot", T.IntegerType()), T.StructField("cut", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("_base", T.LongType())]))
-    out = rows.join(F.broadcast(plan), ["vslot", "cut"]).withColumn("slot", F.col("_base") + F.col("_n"))
-    return out.select(id_col, "size", "text_crc32", "vslot", "shard", "slot"), slot_map
+    plan = spark.createDataFrame(base, "vslot int, cut int, shard int, _base long")
+    placed = Window.partitionBy("vslot", "cut").orderBy(F.col(id_col).asc_nulls_first(), "text_crc32", "size", "_row")
+    out = rows.withColumn("_n", F.row_number().over(placed)).join(F.broadcast(plan), ["vslot", "cut"])
+    return out.select(id_col, "size", "text_crc32", "vslot", "shard", (F.col("_base") + F.col("_n") - 1).cast("long").alias("slot"), F.lit(version).alias("version"))
 
 
 def op6_virtual_slots(spark, sf_dir: str) -> DataFrame:
     """All documents over shards 0 to 39 under the `bytes` law."""
-    rows, _ = shard(common.table(spark, sf_dir, "documents"), 40)
-    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
+    path = common.fresh_path(spark, "slot-map")
+    new_map(spark, path, 40)
+    rows = shard(common.table(spark, sf_dir, "documents"), 40, path)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot", F.col("version").alias("map_version"))
