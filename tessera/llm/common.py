@@ -13,14 +13,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Worker functions travel by value, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules["tessera.llm"])
 
-#: Rows of one Arrow batch handed to a Python worker; bounds a worker's memory with long texts.
+#: Rows and bytes of one Arrow batch handed to a Python worker (a batch ends at whichever is
+#: reached first, so it holds one row more than so many bytes); bounds a worker's memory.
 BATCH_ROWS = 500
+BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Bound Arrow batches for this session unless it already bounds them tighter."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        held = str(spark.conf.get(key, None) or 0)
+        if not held.isdecimal() or not 0 < int(held) <= most:
+            spark.conf.set(key, str(most))
     return spark
 
 
@@ -29,13 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's spark.checkpoint.dir,
-    or one of our own where none is set (local sessions and tests)."""
+    """The folder that driver and executors share: the cluster's spark.checkpoint.dir, or one
+    of our own where none is set and driver and executors are one machine (tests)."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not found and sc.getCheckpointDir():
         found = sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -107,8 +114,8 @@ def bit_table(df: DataFrame, column: str, bits: int):
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of edges (a, b: long) by alternating large-star and small-star
     steps: rows (node, root), root the smallest node; only nodes that have an edge.
-    Every step is written to the shared folder; nothing is gathered on the driver but
-    whether it was the last."""
+    Every step is written to the shared folder, and the one before it deleted; nothing is
+    gathered on the driver but whether it was the last."""
     low, high = F.least("a", "b"), F.greatest("a", "b")
     edges = store(edges.filter("a <> b").select(high.alias("a"), low.alias("b")).distinct(), name)
     while True:
@@ -117,7 +124,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b")
-        edges = store(small.distinct(), name)
+        before, edges = edges, store(small.distinct(), name)
+        remove(before)
         # Done once every node hangs on one root and no root hangs on another.
         sides = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)).distinct())
         if sides.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).filter("up > 1 or up > 0 and down > 0").isEmpty():

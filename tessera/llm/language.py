@@ -20,6 +20,7 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,13 @@ PER_LANGUAGE = 2000
 #: log2 of the buckets of character grams.
 GRAM_BITS = 17
 PENALTY = 8.0
+#: Groups in which tasks' counts (one table a language, of at most PER_LANGUAGE tasks) are
+#: added up before the last step.
+MERGE_PARTS = 48
 #: Words that a worker remembers.
 REMEMBERED = 250_000
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters; signs of number (superscripts, fractions, numerals) are none.
+WORD = re.compile(r"[^\W\d_" + "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]+")
 
 # First code points of script ranges (Unicode blocks), in order.
 SCRIPT_STARTS = np.array([0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0x980, 0xE00, 0xE80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x30A0, 0x3100, 0x3400, 0xAC00, 0xD7B0, 0xF900, 0xFB00])
@@ -94,7 +99,9 @@ def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> dict | None:
     for lang, count in sorted(n.items()):
         bound = F.when(F.col("lang") == lang, F.lit(sampling.share(per_language, count))).otherwise(bound)
     sample = train.filter(sampling.place(3) < bound).select("lang", "text")
-    rows = sample.mapInArrow(gram_count_rows, "lang string, grams binary, scripts binary").groupBy("lang").applyInArrow(add_counts, "lang string, grams binary, scripts binary").collect()
+    # Tasks' counts are added up in two steps, so no task takes those of all others.
+    counts = "lang string, grams binary, scripts binary"
+    rows = sample.mapInArrow(gram_count_rows, counts).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS))).groupBy("lang", "part").applyInArrow(add_counts, counts).groupBy("lang").applyInArrow(add_counts, counts).collect()
     rows = sorted(rows, key=lambda r: r.lang)
     if not rows:
         return None
