@@ -14,8 +14,10 @@ POSITIVES and UNLABELLED bound the fitting samples; every document is scored on
 text.
 
 Edge cases: a null or empty text has a defined description (all zero but for its length)
-and gets a score; without positives every score is 0.5; repeated rows get equal scores;
-empty tables give an empty result; extra columns are ignored.
+and gets a score; without positives or without unlabelled text there is nothing to fit and
+every score is 0.5; with fewer than two of either the prior is taken to be 0.5; repeated
+rows get equal scores, and a repeated id counts once in a sample; empty tables give an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -142,6 +144,8 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: in
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Share of positives in unlabelled data, from held-out halves of both."""
+    if min(len(positive), len(unlabelled)) < 2:
+        return 0.5
     p_fit, p_held, u_fit, u_held = positive[::2], positive[1::2], unlabelled[::2], unlabelled[1::2]
     both = np.vstack([p_fit, u_fit])
     net = Network(both.mean(0), both.std(0) + 1e-3, 11)
@@ -162,15 +166,20 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     p = descriptions(sampling.labelled(docs, labels, "quality", 1, positives, 1))
     bound = sampling.share(unlabelled * 3 // 2, docs.count())
     known = labels.select("doc_id").filter(sampling.place(2) < bound).distinct()
-    u = descriptions(docs.filter(sampling.place(2) < bound).join(F.broadcast(known), "doc_id", "left_anti"))
-    if len(p) < 10 or len(u) < 10:
+    u = descriptions(sampling.one_an_id(docs.filter(sampling.place(2) < bound).join(F.broadcast(known), "doc_id", "left_anti")))
+    if not len(p) or not len(u):
         return None
-    prior = estimate_prior(p, u)
-    # Two standard errors below the estimate: too high a prior hides the rarer negatives.
-    prior -= 2 * float(np.sqrt(prior * (1 - prior) * (2 / len(p) + 2 / len(u))))
+    prior = lowered(estimate_prior(p, u), len(p), len(u))
     return fit_pu(p, u, prior), prior
 
 
+def lowered(prior: float, n: int, m: int) -> float:
+    """Two standard errors below the estimate, since too high a prior hides the rarer
+    negatives, but at least half of it and within (0, 1)."""
+    error = float(np.sqrt(prior * (1 - prior) * (2 / n + 2 / m)))
+    return float(np.clip(max(prior - 2 * error, prior / 2), 0.02, 0.98))
+
+
 def score_rows(model, carried: list[str]):
     def run(batches):
         classes = byte_classes()

@@ -17,10 +17,16 @@ def share(n: int, of: int) -> int:
     return SPACE if of <= n else int(SPACE * n / of)
 
 
+def one_an_id(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one text an id, the smallest, so a repeated id cannot fill a sample."""
+    return docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, column: str, value: int, n: int, salt: int) -> DataFrame:
     """About n documents whose label is ``value``.  Both tables are cut by the same places
-    before they meet, so the broadcast side has about n rows whatever the tables hold."""
+    before they meet, so the broadcast side has about n rows whatever the tables hold; a
+    repeated id counts once."""
     some = labels.filter(F.col(column) == value).select("doc_id")
-    bound = share(n, some.count())
+    bound = share(n, some.distinct().count())
     chosen = some.filter(place(salt) < bound).distinct()
-    return docs.filter(place(salt) < bound).join(F.broadcast(chosen), "doc_id", "left_semi")
+    return one_an_id(docs.filter(place(salt) < bound).join(F.broadcast(chosen), "doc_id", "left_semi"))
