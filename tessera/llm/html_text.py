@@ -3,7 +3,7 @@
 A page becomes blocks of text: every block-level tag ends one.  The first pass classifies
 blocks by length, link density and stop-word density as good, near-good, bad or short.
 In the second pass near-good and short blocks inherit the label of the nearest decided
-neighbour; near-good ones go first.  A heading looks only at what follows it.
+neighbour; near-good ones go first.  A heading above something good is good.
 
 Distances are measured along the page: a block is one step, and leaving or entering a
 container (div, section, list, ...) is as far as CROSSING blocks, so a short paragraph
@@ -69,7 +69,7 @@ STOP_WORDS = frozenset(
 
 #: Characters of a short block, and of a block that is good by itself.
 SHORT, LONG = 70, 200
-MOST_LINKS = 0.4
+MOST_LINKS = 0.5
 #: Stop words among words: fewer are bad, more are good in a long block.
 STOP_LOW, STOP_HIGH = 0.06, 0.2
 #: Blocks that the border of a container counts for.
@@ -250,23 +250,23 @@ def second_pass(kinds: list[str], places: list[int], homes: list[int], headings:
         sides = []
         for order, step in ((range(n), -1), (range(n - 1, -1, -1), 1)):
             found: list = [None] * n
-            last = None  # (label, place)
-            previous = None
+            last = edge = None  # (label, place) of a decided block, and of an article's edge
+            home = 0
             for i in order:
-                if homes[i] and (previous is None or homes[previous] != homes[i]):
-                    last = (GOOD, places[i] + step)
-                found[i] = last
+                if homes[i] != home:
+                    home = homes[i]
+                    edge = (GOOD, places[i] + step) if home else None
+                found[i] = edge or last
                 if kinds[i] in (GOOD, BAD):
-                    last = (kinds[i], places[i])
-                previous = i
+                    last, edge = (kinds[i], places[i]), None
             sides.append(found)
         out = list(kinds)
         for i, kind in enumerate(kinds):
             if kind != stage:
                 continue
             left, right = sides[0][i], sides[1][i]
-            if headings[i] and right is not None:
-                out[i] = right[0]
+            if headings[i] and right is not None and right[0] == GOOD:
+                out[i] = GOOD
             elif left is None and right is None:
                 out[i] = GOOD if stage == NEAR else BAD
             elif left is None or right is None:

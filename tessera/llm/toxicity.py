@@ -12,12 +12,12 @@ Sequences are cut into chunks of equal length.  A chunk's steps multiply to a 2
 so messages pass over whole chunks first and inside all chunks at once afterwards; the
 marginals are those of the uncut sequence.
 
-TOXIC_DOCS and OTHER_DOCS bound the fitting sample; every document is scored on its whole
-text.
+TOXIC_DOCS and OTHER_DOCS bound the fitting sample, which leaves out texts beyond
+SAMPLE_CHARS; every document is scored on its whole text.
 
 Edge cases: a null or wordless text scores 0; without toxic training rows every score is 0;
-repeated rows get equal scores; empty tables give an empty result; extra columns are
-ignored.
+repeated rows get equal scores, and a repeated id counts once in the sample; empty tables
+give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from tessera.llm.quality import training_fold
 
 TOXIC_DOCS = 600
 OTHER_DOCS = 900
+SAMPLE_CHARS = 100_000
 #: Words and word beginnings with a feature of their own.
 VOCABULARY = 60_000
 BEGINNINGS = (4, 5, 6)
@@ -245,7 +246,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, other_
     """The chain fitted on a bounded sample of the training fold, or None without toxic rows."""
     from collections import Counter
 
-    gather = lambda value, n, salt: [words_of(t) for t in sorted((r.text or "").encode() for r in sampling.labelled(docs, labels, "toxic", value, n, salt).select("text").collect())]
+    short = docs.filter(F.length(F.coalesce("text", F.lit(""))) <= SAMPLE_CHARS)
+    gather = lambda value, n, salt: [words_of(t) for t in sorted((r.text or "").encode() for r in sampling.labelled(short, labels, "toxic", value, n, salt).select("text").collect())]
     toxic, other = gather(1, toxic_docs, 5), gather(0, other_docs, 6)
     marked = indicators(toxic, other)
     if not marked:
