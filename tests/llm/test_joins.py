@@ -7,6 +7,7 @@ import pytest
 
 from tessera.llm import common, decontamination as D, jaccard as J, kneser_ney as K
 from tests.llm.conftest import ODD
+from tests.llm.plain import KneserNey
 
 
 def near_copies(seed, n=120):
@@ -56,7 +57,8 @@ def test_components_match_brute_force(make, k, percent):
 
 
 def test_large_family_in_chunks(make, monkeypatch):
-    monkeypatch.setattr(J, "TASK_DOCS", 12)
+    monkeypatch.setattr(J, "CELL_DOCS", 12)
+    monkeypatch.setattr(J, "SIDE_DOCS", 12)
     rows = near_copies(9, 12)
     rng = random.Random(5)
     base = [f"v{i}" for i in range(150)]
@@ -175,36 +177,38 @@ def test_winnow_guarantee():
         assert all(kept & set(range(i, i + 4)) for i in range(37))
 
 
-def test_kneser_ney_sums_to_one_and_matches(spark, make):
-    import math
-    from collections import Counter
-
+@pytest.mark.parametrize("shard_bytes", [K.SHARD_BYTES, 800])
+def test_kneser_ney_sums_to_one_and_matches(make, monkeypatch, shard_bytes):
+    monkeypatch.setattr(K, "SHARD_BYTES", shard_bytes)  # with many shards, frequent words are split
     rng = random.Random(6)
     words = [f"k{min(int(rng.expovariate(0.15)), 40)}" for _ in range(6000)]
     rows = [(i, " ".join(words[i * 40 : i * 40 + 40])) for i in range(150)] + [(None if i is None else i + 1000, t) for i, t in ODD if i != 6]
     docs = make(rows).selectExpr("*", "doc_id is null or doc_id % 7 = 2 as held_out")
     model = K.train(docs.filter("not held_out").select("text"))
-    train = [(t or "").encode().lower().split() + [b"\n"] for i, t in rows if i is not None and i % 7 != 2]
-    uni, bi = Counter(w for t in train for w in t), Counter(p for t in train for p in zip([b"\n"] + t[:-1], t))
-    follow, before = defaultdict(lambda: [0, 0, 0, 0]), Counter(w for _, w in bi)
-    for (v, w), n in bi.items():
-        follow[v][0] += n
-        follow[v][min(n, 3)] += 1
-    d1, d2 = [0, *model["d1"]], [0, *model["d2"]]
-    assert model["tokens"] == sum(uni.values()) and model["vocabulary"] == len(uni)
-
-    def p(v, w):
-        low = max(before[w] - d1[min(before[w], 3)], 0) / len(bi) + model["rest"] / (len(uni) + 1)
-        if v not in follow:
-            return low
-        return (max(bi[v, w] - d2[min(bi[v, w], 3)], 0) + low * sum(follow[v][i] * d2[i] for i in (1, 2, 3))) / follow[v][0]
-
-    assert sum(p(b"k1", w) for w in uni) + p(b"k1", b"unseen") == pytest.approx(1)
+    assert (model["parts"].max() > 1) == (shard_bytes == 800)
+    want = KneserNey([t for i, t in rows if i is not None and i % 7 != 2])
+    for u, v in ((b"k1", b"k2"), (b"never", b"k2"), (b"k0", b"never")):
+        assert sum(want.p(u, v, w) for w in want.raw) + want.p(u, v, b"unseen") == pytest.approx(1)
     for r in K.score(docs, model).collect():
-        text = next(t for i, t in rows if i == r.doc_id)
-        t = (text or "").encode().lower().split() + [b"\n"]
-        assert r.n_tokens == len(t)
-        assert r.score == pytest.approx(sum(math.log10(p(v, w)) for v, w in zip([b"\n"] + t[:-1], t)))
+        got = (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
+        assert got == pytest.approx(want.row(next(t for i, t in rows if i == r.doc_id)))
+
+
+def test_kneser_ney_of_empty_tables_and_lost_files(make):
+    import os
+
+    docs = make(ODD).selectExpr("*", "false as held_out")
+    model = K.train(docs.select("text"))
+    assert K.score(docs.limit(0), model).count() == 0
+    name = next(f"trigrams-{i}" for i, n in enumerate(model["files"]["trigrams"]) if n)
+    path = f"{K.Folder(model['uri']).path}/{name}"
+    with open(path, "r+b") as file:
+        file.truncate(os.path.getsize(path) - 8)
+    with pytest.raises(Exception, match="manifest"):
+        K.score(docs, model).collect()
+    os.remove(path)
+    with pytest.raises(Exception, match="No such file"):
+        K.score(docs, model).collect()
 
 
 def test_kneser_ney_without_training_rows(make):

@@ -100,18 +100,37 @@ def test_packing_of_odd_documents(spark, make):
     assert packing.pack(make([]), path).count() == 0
 
 
-def test_sharding_of_odd_documents(make):
+def shards_of(spark, docs, n, path):
+    sharding.new_map(spark, path, n)
+    return sharding.shard(docs, n, path)
+
+
+def test_sharding_of_odd_documents(spark, make, tmp_path):
     docs = make([x for x in ODD if x[0] != 7] * 3 + [(i, "w " * (i % 50)) for i in range(100, 900)] + [(77, "hot one")] * 400)
-    rows, slots = sharding.shard(docs, 4)
-    got = rows.collect()
-    assert len(got) == docs.count() and set(rows.columns) >= {"doc_id", "size", "shard", "slot"}
+    got = shards_of(spark, docs, 4, f"{tmp_path}/map").collect()
+    assert len(got) == docs.count()
     load: dict = {}
     for r in got:
         load.setdefault(r.shard, []).append(r)
     sizes = [sum(r.size for r in v) for v in load.values()]
     assert all(sorted(r.slot for r in v) == list(range(len(v))) for v in load.values())
-    assert max(sizes) < 2.2 * min(sizes) and len(slots.versions) == 2
-    assert sharding.shard(make([]), 4)[0].count() == 0
+    assert max(sizes) < 1.1 * min(sizes)
+    stored = sharding.load_map(spark, f"{tmp_path}/map", 4)
+    assert len(stored.versions) == 2 and max(stored.cuts().values()) > 1  # the repeated record is cut
+    whole = {s: to for (s, cut), to in stored.current.items() if stored.cuts()[s] == 1}
+    assert all(whole.get(r.vslot, r.shard) == r.shard for r in got)
+    assert shards_of(spark, make([]), 4, f"{tmp_path}/empty").count() == 0
+
+
+def test_growth_edits_the_stored_map(spark, make, tmp_path):
+    rows = [(i, "w " * (i % 50)) for i in range(3000)]
+    first = {r.doc_id: r.shard for r in shards_of(spark, make(rows), 4, f"{tmp_path}/map").collect()}
+    more = sharding.shard(make(rows + [(i, "new") for i in range(3000, 3300)]), 5, f"{tmp_path}/map").collect()
+    assert {r.version for r in more} == {2} and {r.shard for r in more} == set(range(5))
+    moved = [r for r in more if r.doc_id in first and first[r.doc_id] != r.shard]
+    assert len(moved) < 0.35 * len(rows) and sum(r.shard == 4 for r in moved) > 0.6 * len(moved)
+    sizes = [sum(r.size for r in more if r.shard == s) for s in range(5)]
+    assert max(sizes) - min(sizes) < 0.02 * max(sizes)
 
 
 def test_slot_map_versions(spark, tmp_path):
@@ -124,5 +143,27 @@ def test_slot_map_versions(spark, tmp_path):
     load = [sum(sizes[p] for p, s in m.current.items() if s == k) for k in range(5)]
     assert max(load) - min(load) <= 16 and moved < 400 * 0.35
     assert sum(before[p] != s and s != 4 for p, s in m.current.items()) <= moved // 2
-    sharding.save_map(spark, m, f"{tmp_path}/map")
+    for version in range(3):
+        sharding.save_version(spark, m, f"{tmp_path}/map", version)
     assert sharding.load_map(spark, f"{tmp_path}/map", 5).versions == m.versions
+
+
+def test_damaged_gifs_decode_to_what_precedes_the_damage():
+    rng = random.Random(9)
+    good = gif.bytes_to_gif(bytes(rng.choices(range(97, 123), k=192 * 40)))
+    want = next(gif.decode_gif(good)).canvas.copy()
+    for _ in range(300):
+        bad = bytearray(good)
+        for _ in range(rng.choice([1, 1, 3, 20])):
+            bad[rng.randrange(6, len(bad))] = rng.randrange(256)
+        for s in gif.decode_gif(bytes(bad)):
+            assert s.canvas.shape[0] * s.canvas.shape[1] <= gif.MOST_PIXELS
+    head = len(good) - len(good[good.index(b",\0\0\0\0") :])
+    for size in (0, 9, 12, 255):
+        bad = bytearray(good)
+        bad[head + 10] = size
+        assert all(not s.visible.any() for s in gif.decode_gif(bytes(bad)))
+    huge = bytearray(good)
+    huge[6:10] = b"\xff\xff\xff\xff"
+    assert list(gif.decode_gif(bytes(huge))) == [] and want.shape == (40, 192, 3)
+    assert [list(gif.decode_gif(rng.randbytes(60))) for _ in range(50)] == [[]] * 50
