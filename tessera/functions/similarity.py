@@ -1,12 +1,16 @@
-"""Similarities of strings and token sets as column expressions."""
+"""Similarities of strings and token sets as column expressions.
+
+Strings are compared without outer space and case (full case folding); a missing value is
+like nothing, not even another missing one.
+"""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from tessera.functions.text import _column, char_ngrams, common_prefix, word_tokens
-
+from tessera.functions.text import _column, casefold, char_ngrams, common_prefix, word_tokens
 
 
 
@@ -15,10 +19,15 @@ def is_blank(x) -> Column:
     return x.isNull() | F.lower(F.trim(x)).isin("", "none", "nan", "null")
 
 
-def exact(a, b) -> Column:
-    """1 where both are present and equal without case and outer space."""
+def folded(x, fold: bool = True) -> Column:
+    """``fold`` false: the caller says that values are folded and trimmed already."""
+    return casefold(F.trim(_column(x))) if fold else _column(x)
+
+
+def exact(a, b, fold: bool = True) -> Column:
+    """1 where both are present and equal."""
     a, b = _column(a), _column(b)
-    return F.when(is_blank(a) | is_blank(b), 0.0).when(F.lower(F.trim(a)) == F.lower(F.trim(b)), 1.0).otherwise(0.0)
+    return F.when(is_blank(a) | is_blank(b), 0.0).when(folded(a, fold) == folded(b, fold), 1.0).otherwise(0.0)
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -35,17 +44,33 @@ def set_overlap(a: Column, b: Column) -> Column:
     return _ratio(F.size(F.array_intersect(a, b)), F.least(F.size(F.array_distinct(a)), F.size(F.array_distinct(b))))
 
 
+def distinct_hashes(x: Column) -> Column:
+    """The distinct members of a token array as 64-bit numbers, which compare fast."""
+    return F.array_distinct(F.transform(x, lambda t: F.xxhash64(t)))
+
+
+def hashed_jaccard(a: Column, b: Column) -> Column:
+    """Jaccard of arrays without repeats."""
+    both = F.size(F.array_intersect(a, b))
+    return _ratio(both, F.size(a) + F.size(b) - both)
+
+
+def hashed_overlap(a: Column, b: Column) -> Column:
+    """Common share of the smaller of two arrays without repeats."""
+    return _ratio(F.size(F.array_intersect(a, b)), F.least(F.size(a), F.size(b)))
+
+
 def set_dice(a: Column, b: Column) -> Column:
     a, b = F.array_distinct(a), F.array_distinct(b)
     return _ratio(2 * F.size(F.array_intersect(a, b)), F.size(a) + F.size(b))
 
 
-def token_jaccard(a, b) -> Column:
-    return set_jaccard(word_tokens(F.lower(_column(a))), word_tokens(F.lower(_column(b))))
+def token_jaccard(a, b, fold: bool = True) -> Column:
+    return set_jaccard(word_tokens(folded(a, fold)), word_tokens(folded(b, fold)))
 
 
-def token_overlap(a, b) -> Column:
-    return set_overlap(word_tokens(F.lower(_column(a))), word_tokens(F.lower(_column(b))))
+def token_overlap(a, b, fold: bool = True) -> Column:
+    return set_overlap(word_tokens(folded(a, fold)), word_tokens(folded(b, fold)))
 
 
 def characters(x) -> Column:
@@ -65,81 +90,100 @@ def padded_ngrams(x, n: int = 3) -> Column:
     return F.when(F.length(x) < n, F.array(x)).otherwise(char_ngrams(F.concat(F.lit("_"), x, F.lit("_")), n))
 
 
-def char_ngram_jaccard(a, b, n: int = 3) -> Column:
-    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(set_jaccard(padded_ngrams(F.lower(F.trim(_column(a))), n), padded_ngrams(F.lower(F.trim(_column(b))), n)))
+def char_ngram_jaccard(a, b, n: int = 3, fold: bool = True) -> Column:
+    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(set_jaccard(padded_ngrams(folded(a, fold), n), padded_ngrams(folded(b, fold), n)))
 
 
-def levenshtein_similarity(a, b) -> Column:
-    a, b = _column(a), _column(b)
+def levenshtein_similarity(a, b, fold: bool = True) -> Column:
+    blank = is_blank(a) | is_blank(b)
+    a, b = folded(a, fold), folded(b, fold)
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(_ratio(longest - F.levenshtein(a, b), longest))
-
-
-def jaro(a: str, b: str) -> float:
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    reach = max(len(a), len(b)) // 2 - 1
-    taken = [False] * len(b)
-    left = []
-    for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == c:
-                taken[j] = True
-                left.append(c)
-                break
-    if not left:
-        return 0.0
-    right = [c for c, t in zip(b, taken) if t]
-    m = len(left)
-    half_turned = sum(x != y for x, y in zip(left, right)) // 2
-    return (m / len(a) + m / len(b) + (m - half_turned) / m) / 3
-
-
-def jaro_winkler_value(a: str, b: str) -> float:
-    """The bonus for a common beginning (at most four letters) counts above 0.7 only."""
-    score = jaro(a, b)
-    if score > 0.7:
-        same = 0
-        for x, y in zip(a[:4], b[:4]):
-            if x != y:
-                break
-            same += 1
-        score += 0.1 * same * (1 - score)
-    return score
-
-
-def jaro_winkler(a, b) -> Column:
-    """Arrow batches; a batch's repeated pairs are computed once."""
+    return F.when(blank, 0.0).otherwise(_ratio(longest - F.levenshtein(a, b), longest))
+
+
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(texts as rows of code points, lengths); rows are filled up with zeros."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.zeros((len(texts), int(lengths.max(initial=1))), np.uint32)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    out[np.arange(out.shape[1]) < lengths[:, None]] = flat
+    return out, lengths
+
+
+def jaro_winkler_values(left: list[str], right: list[str]) -> np.ndarray:
+    """Jaro similarity, with the bonus for a common beginning (at most four letters) above
+    0.7, of many pairs at once.  Every letter of the left text takes the first free equal one
+    within reach, so the loop runs over places, not over pairs."""
+    a, la = code_points(left)
+    b, lb = code_points(right)
+    n, reach = len(left), np.maximum(np.maximum(la, lb) // 2 - 1, 0)
+    free = np.arange(b.shape[1]) < lb[:, None]
+    taken = np.zeros(b.shape, bool)
+    matched = np.zeros(a.shape, bool)
+    place, rows = np.arange(b.shape[1]), np.arange(n)
+    for i in range(a.shape[1]):
+        low, high = max(0, i - int(reach.max(initial=0))), min(b.shape[1], i + int(reach.max(initial=0)) + 1)
+        if low >= high:
+            break
+        near = np.abs(place[low:high] - i) <= reach[:, None]
+        fits = near & free[:, low:high] & (b[:, low:high] == a[:, i, None]) & (i < la)[:, None]
+        hit = fits.any(1)
+        at = low + fits.argmax(1)
+        matched[:, i] = hit
+        taken[rows[hit], at[hit]] = True
+        free[rows[hit], at[hit]] = False
+    m = matched.sum(1)
+    turned = np.zeros(n, np.int64)
+    # Matched letters in order on both sides, side by side.
+    owner = np.repeat(rows, m)
+    np.add.at(turned, owner, a[matched] != b[taken])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        score = np.where(m > 0, (m / la + m / lb + (m - turned // 2) / m) / 3, 0.0)
+    k = min(4, a.shape[1], b.shape[1])
+    same = np.cumprod((a[:, :k] == b[:, :k]) & (np.arange(k) < np.minimum(la, lb)[:, None]), axis=1).sum(1)
+    score = np.where(score > 0.7, score + 0.1 * same * (1 - score), score)
+    return np.where([x == y for x, y in zip(left, right)], 1.0, score)
+
+
+def jaro_winkler(a, b, fold: bool = True) -> Column:
+    """Arrow batches; blank pairs are sent as nulls, equal pairs of a batch are computed once."""
+    blank = is_blank(a) | is_blank(b)
 
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        known: dict = {}
-        out = []
-        for pair in zip(x, y):
-            if pair not in known:
-                known[pair] = 0.0 if pair[0] is None or pair[1] is None else jaro_winkler_value(*pair)
-            out.append(known[pair])
-        return pd.Series(out, dtype="float64")
+        out = np.zeros(len(x))
+        some = np.flatnonzero(x.notna().to_numpy() & y.notna().to_numpy())
+        if len(some):
+            pairs = pd.MultiIndex.from_arrays([x.to_numpy()[some], y.to_numpy()[some]])
+            codes, distinct = pairs.factorize()
+            left, right = distinct.get_level_values(0).tolist(), distinct.get_level_values(1).tolist()
+            # Pairs of like length go together, so that rows are not filled up far.
+            order = np.argsort([max(len(p), len(q)) for p, q in zip(left, right)], kind="stable")
+            value = np.zeros(len(left))
+            for start in range(0, len(order), 2000):
+                part = order[start : start + 2000]
+                value[part] = jaro_winkler_values([left[i] for i in part], [right[i] for i in part])
+            out[some] = value[codes]
+        return pd.Series(out)
 
-    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(F.pandas_udf(run, "double")(_column(a), _column(b)))
+    return F.when(blank, 0.0).otherwise(F.pandas_udf(run, "double")(F.when(~blank, folded(a, fold)), F.when(~blank, folded(b, fold))))
 
 
-def prefix_ratio(a, b) -> Column:
-    a, b = _column(a), _column(b)
-    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(_ratio(common_prefix(a, b), F.greatest(F.length(a), F.length(b))))
+def prefix_ratio(a, b, fold: bool = True) -> Column:
+    blank = is_blank(a) | is_blank(b)
+    a, b = folded(a, fold), folded(b, fold)
+    return F.when(blank, 0.0).otherwise(_ratio(common_prefix(a, b), F.greatest(F.length(a), F.length(b))))
 
 
-def suffix_ratio(a, b) -> Column:
-    return prefix_ratio(F.reverse(_column(a)), F.reverse(_column(b)))
+def suffix_ratio(a, b, fold: bool = True) -> Column:
+    return prefix_ratio(F.reverse(folded(a, fold)), F.reverse(folded(b, fold)), False)
 
 
-def compare_field(a, b) -> dict[str, Column]:
+def compare_field(a, b, fold: bool = True) -> dict[str, Column]:
     """exact, both present, one missing, both missing, as 0 or 1."""
     x, y = is_blank(a), is_blank(b)
     flag = lambda c: F.when(c, 1.0).otherwise(0.0)
-    return {"exact": exact(a, b), "both_present": flag(~x & ~y), "one_missing": flag(x != y), "both_missing": flag(x & y)}
+    return {"exact": exact(a, b, fold), "both_present": flag(~x & ~y), "one_missing": flag(x != y), "both_missing": flag(x & y)}
 
 
-def bigram_dice(a, b) -> Column:
-    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(set_dice(char_ngrams(F.lower(_column(a)), 2), char_ngrams(F.lower(_column(b)), 2)))
+def bigram_dice(a, b, fold: bool = True) -> Column:
+    return F.when(is_blank(a) | is_blank(b), 0.0).otherwise(set_dice(char_ngrams(folded(a, fold), 2), char_ngrams(folded(b, fold), 2)))

@@ -1,8 +1,8 @@
 """Text representations of names, addresses, countries and identifiers as column expressions.
 
 Stage order: NFKC, control strip, case fold, white space, punctuation policy, white space.
-Only NFKC with case folding needs Python; it runs on the non-ASCII rows' Arrow batches, and
-ASCII rows are folded in the JVM.
+Only the Unicode forms need Python: ASCII rows pass it as nulls, so it works on the others'
+text alone.  Case folding is a JVM expression.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Typographic characters and the plain ones they fold to.
 FOLDS = {
@@ -29,18 +29,20 @@ STAGES = ("unicode", "control", "folded", "spaced", "cleaned")
 cloudpickle.register_pickle_by_value(sys.modules["tessera.functions"])
 
 
-def _nfkc_casefold(x: Column) -> Column:
-    def run(s: pd.Series) -> pd.Series:
-        return s.str.normalize("NFKC").str.casefold()
+FORMS = ("NFC", "NFD", "NFKC", "NFKD")
 
-    return F.pandas_udf(run, "string")(x)
 
+def unicode_form(x, form: str = "NFKC") -> Column:
+    """A Unicode normal form.  Spark evaluates Python on every row whatever a CASE around it
+    says, so ASCII rows, which no form changes, are sent as nulls."""
+    if form not in FORMS:
+        raise ValueError(f"unknown Unicode form {form}")
+    x = _column(x)
 
-def _nfkc(x: Column) -> Column:
     def run(s: pd.Series) -> pd.Series:
-        return s.str.normalize("NFKC")
+        return s.str.normalize(form)
 
-    return F.pandas_udf(run, "string")(x)
+    return F.when(is_ascii(x), x).otherwise(F.pandas_udf(run, "string")(F.when(~is_ascii(x), x)))
 
 
 def _column(x) -> Column:
@@ -83,19 +85,33 @@ def punctuation_policy(x) -> Column:
 
 
 def casefold(x) -> Column:
-    return F.when(is_ascii(x), F.lower(_column(x))).otherwise(_nfkc_casefold(_column(x)))
+    """Full case folding: upper case first, since it spells out ligatures and sharp s, then
+    lower case.  The dotless i has no other case, and the final sigma is a sigma."""
+    x = _column(x)
+    full = F.lower(F.upper(F.translate(x, "\u0131\u1e9e", "\ue000\u00df")))
+    return F.when(is_ascii(x), F.lower(x)).otherwise(F.translate(full, "\ue000\u03c2", "\u0131\u03c3"))
 
 
-def stages(x, ascii_only: bool = False) -> dict[str, Column]:
+def stages(x, ascii_only: bool = False, form: str = "NFKC") -> dict[str, Column]:
     """The five representations of a value; a missing value has none."""
     raw = present(x)
-    unicode = raw if ascii_only else F.when(is_ascii(raw), raw).otherwise(_nfkc(raw))
+    unicode = raw if ascii_only else unicode_form(raw, form)
     control = strip_control(unicode)
     folded = F.lower(control) if ascii_only else casefold(control)
     spaced = collapse_whitespace(folded)
     return dict(zip(STAGES, (unicode, control, folded, spaced, collapse_whitespace(punctuation_policy(spaced)))))
 
 
+def changed_at(x, stage: str, ascii_only: bool = False) -> Column:
+    """Has a stage changed what the stage before it gave?"""
+    held = {"raw": present(x), **stages(x, ascii_only)}
+    names = list(held)
+    if stage not in names:
+        raise KeyError(f"unknown stage {stage}")
+    at = names.index(stage)
+    return F.lit(False) if at == 0 else F.coalesce(held[stage] != held[names[at - 1]], F.lit(False))
+
+
 def cleaned(x, ascii_only: bool = False) -> Column:
     return stages(x, ascii_only)["cleaned"]
 
@@ -156,7 +172,7 @@ def name_representations(x, abbreviations: dict | None = None, suffixes: dict |
     spelled = F.replace(cleaned(x, ascii_only), F.lit("&"), F.lit(" and "))
     tokens = map_tokens(map_tokens(alnum_tokens(spelled), abbreviations or {}), suffixes or {})
     legal = set(suffixes or {}) | set((suffixes or {}).values())
-    core = F.filter(tokens, lambda t: ~t.isin(*legal)) if legal else tokens
+    core = F.filter(tokens, lambda t: ~t.isin(*sorted(legal))) if legal else tokens
     return {"name": F.array_join(tokens, " "), "name_core": F.array_join(core, " "), "name_sorted": F.array_join(F.array_sort(tokens), " "), "name_tokens": tokens}
 
 
@@ -180,9 +196,13 @@ def address_representations(x, tables: tuple[dict, ...] = (), ascii_only: bool =
         "address_numbers": numbers,
         "address_house_number": F.when(F.size(numbered) > 0, F.regexp_extract(F.get(numbered, F.lit(0)), "([0-9]+)", 1)),
         "address_postal": F.when(F.size(postal) > 0, F.element_at(postal, -1)),
+        "address_unit": present(F.regexp_extract(F.array_join(parts, ", "), UNIT, 1)),
     }
 
 
+UNIT = r"\b(?:apt|apartment|unit|suite|ste|floor|fl|room|rm)\.? ?([\p{L}\p{N}-]+)"
+
+
 def country_representations(x, ascii_only: bool = False) -> dict[str, Column]:
     c = cleaned(x, ascii_only)
     return {"country": c, "country_token": F.replace(c, F.lit(" "), F.lit("_"))}
@@ -194,6 +214,43 @@ def identifier_representations(x) -> dict[str, Column]:
     return {"id_prefix": F.when(F.contains(x, F.lit("-")), F.split_part(x, F.lit("-"), F.lit(1))), "id_body": present(F.regexp_replace(last, "[^0-9]", ""))}
 
 
+KINDS = ("country", "address", "name", "identifier", "generic")
+# Representations of every column and those of each kind, in order.
+TOKENS = ("tokens", "char_ngrams", "token_count")
+OF_KIND = {
+    "name": ("name", "name_core", "name_sorted"), "address": ("address", "address_sorted", "address_numbers", "address_house_number", "address_postal", "address_unit"),
+    "country": ("country", "country_token"), "identifier": ("id_prefix", "id_body"), "generic": (),
+}
+
+
+def plan(columns: list[str]) -> dict[str, tuple[str, ...]]:
+    """The representation columns that each column of a table gets, by the kind of its name."""
+    return {c: ("raw", *STAGES, *TOKENS, *OF_KIND[classify_column(c)]) for c in columns}
+
+
+def representations(df: DataFrame, columns: list[str] | None = None, rules: dict | None = None) -> DataFrame:
+    """The table with all its columns as they are and a column ``<column>__<name>`` for each
+    planned representation.  ``rules``: abbreviations, suffixes and address tables."""
+    rules = rules or {}
+    out: dict[str, Column] = {}
+    for c, names in plan(columns or df.columns).items():
+        x = F.col(c).cast("string")
+        held = {"raw": x, **stages(x)}
+        tokens = alnum_tokens(held["cleaned"])
+        held |= {"tokens": tokens, "char_ngrams": char_ngrams(F.array_join(tokens, ""), 3), "token_count": F.size(tokens)}
+        kind = classify_column(c)
+        if kind == "name":
+            held |= name_representations(x, rules.get("abbreviations"), rules.get("suffixes"))
+        elif kind == "address":
+            held |= address_representations(x, tuple(rules.get("address", ())))
+        elif kind == "country":
+            held |= country_representations(x)
+        elif kind == "identifier":
+            held |= identifier_representations(x)
+        out |= {f"{c}__{n}": held[n] for n in names}
+    return df.withColumns(out)
+
+
 def classify_column(name: str) -> str:
     """The kind of a column by its name: country, address, name, identifier or generic."""
     n = name.lower()

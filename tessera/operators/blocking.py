@@ -1,8 +1,9 @@
 """Candidate generation: exact keys, token keys, n-gram and TF-IDF joins, union, recall.
 
 All strategies are equi-joins on exploded keys, always within a country.  Blocks are sized
-and oversized ones dropped before the join, so no key multiplies out; ties are broken by the
-candidate's id.
+and oversized ones dropped before the join (that bound belongs to the strategies' meaning);
+the TF-IDF join has no blocks and looks candidates up by the terms that matter instead.
+Ties are broken by the candidate's id.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.functions.similarity import padded_ngrams
+from tessera.functions.text import word_tokens
 
 # Words that carry no identity in names and in streets, and key patterns.
 NAME_STOP_WORDS = "the and of in for at by on with to llc inc corp corporation ltd limited pvt co company pllc lp llp pc services group".split()
@@ -106,52 +108,106 @@ def top_by_hits(pairs: DataFrame, k: int, least: int = 1) -> DataFrame:
     return pairs.withColumn("_r", F.row_number().over(rank)).filter((F.col("_r") <= k) & (F.col("hits") >= least)).drop("_r")
 
 
+def copies(records: DataFrame, value: Column, *by: str) -> tuple[DataFrame, DataFrame]:
+    """Records that share a value within ``by``: (rows by + value + _class, rows by + _class +
+    entity_id).  Joins work on the distinct values; ids come back afterwards."""
+    rows = records.select("entity_id", *by, value.alias("value")).filter("value is not null")
+    rows = rows.withColumn("_class", F.xxhash64(*by, "value"))
+    return rows.groupBy(*by, "_class").agg(F.first("value").alias("value"), F.count("*").alias("n")), rows.select("entity_id", *by, "_class")
+
+
+def first_ids(members: DataFrame, k: int, *by: str) -> DataFrame:
+    """The k smallest ids of each class (k null: all), ranked.  Large classes are cut down in
+    parts first, so no task ranks a whole one."""
+    parts = Window.partitionBy(*by, "_class", F.pmod(F.xxhash64("entity_id"), F.lit(64))).orderBy("entity_id")
+    some = members.withColumn("_r", F.row_number().over(parts)).filter(F.col("_r") <= k)
+    return some.withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_class").orderBy("entity_id"))).filter(F.col("_r") <= k).drop("_r")
+
+
 def ngram_join(anchors: DataFrame, candidates: DataFrame, n: int = 3, most: int = 5000, k: int = 20, jaccard: float = 0.35, low_jaccard: float = 0.25, low_common: int = 5) -> DataFrame:
     """Padded character n-gram join: overlap on bounded grams, sizes on all grams, first the
-    2k candidates with most common grams, then the Jaccard rule, then the first k."""
+    2k candidates with most common grams, then the Jaccard rule, then the first k.
+
+    Equal names are joined once, on 64-bit gram hashes; of a name's candidates only the first
+    2k ids can be among an anchor's 2k, so no more come back."""
+    name = F.array_join(tokens_of("business_name"), " ")
+    value = F.when(F.length(name) >= n, name)
+    grams = lambda names: names.withColumn("g", F.array_distinct(F.transform(padded_ngrams("value", n), lambda t: F.xxhash64(t)))).withColumn("size", F.size("g"))
+    a, a_ids = copies(with_country(anchors), value, "country")
+    c, c_ids = copies(with_country(candidates), value, "country")
+    a, c = grams(a), grams(c)
+    keyed = c.select("country", "_class", "size", "n", F.explode("g").alias("key"))
+    sizes = keyed.groupBy("country", "key").agg(F.sum("n").alias("block")).filter(F.col("block") <= most).drop("block")
+    pairs = a.select("country", F.col("_class").alias("_a"), F.col("size").alias("sa"), F.explode("g").alias("key")).join(keyed.join(sizes, ["country", "key"]).withColumnRenamed("_class", "_c").withColumnRenamed("size", "sc"), ["country", "key"])
+    pairs = pairs.groupBy("country", "_a", "_c").agg(F.count("*").alias("hits"), F.first("sa").alias("sa"), F.first("sc").alias("sc"))
+    # Ranks over distinct names: names beyond the 2k with most hits hold none of the 2k ids.
+    by_hits = Window.partitionBy("country", "_a").orderBy(F.desc("hits"))
+    pairs = pairs.withColumn("_n", F.rank().over(by_hits)).filter(F.col("_n") <= 2 * k).drop("_n")
+    near = pairs.join(first_ids(c_ids, 2 * k, "country").select("country", F.col("_class").alias("_c"), F.col("entity_id").alias(CANDIDATE)), ["country", "_c"])
+    order = Window.partitionBy("country", "_a").orderBy(F.desc("hits"), CANDIDATE)
+    value = F.col("hits") / (F.col("sa") + F.col("sc") - F.col("hits"))
+    near = near.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= 2 * k).withColumn("jaccard", value).filter((F.col("jaccard") >= jaccard) | ((F.col("hits") >= low_common) & (F.col("jaccard") >= low_jaccard)))
+    near = near.withColumn("_r", F.row_number().over(Window.partitionBy("country", "_a").orderBy("_r"))).filter(F.col("_r") <= k)
+    out = near.join(a_ids.select("country", F.col("_class").alias("_a"), F.col("entity_id").alias(ANCHOR)), ["country", "_a"])
+    return out.select(ANCHOR, CANDIDATE, F.lit("char_ngram").alias("strategy"), "hits", "jaccard")
 
-    def grams(records):
-        name = F.array_join(tokens_of("business_name"), " ")
-        g = F.when(F.length(name) >= n, F.array_distinct(padded_ngrams(name, n)))
-        return with_country(records).select("entity_id", "country", g.alias("g")).filter("g is not null").select("entity_id", "country", F.size("g").alias("size"), F.lit("char_ngram").alias("strategy"), F.explode("g").alias("key"))
 
-    a, c = grams(anchors), grams(candidates)
-    pairs = a.withColumnRenamed("entity_id", ANCHOR).withColumnRenamed("size", "sa").join(bounded(c, most).withColumnRenamed("entity_id", CANDIDATE).withColumnRenamed("size", "sc"), ["country", "strategy", "key"])
-    pairs = pairs.groupBy(ANCHOR, CANDIDATE, "strategy").agg(F.count("*").alias("hits"), F.first("sa").alias("sa"), F.first("sc").alias("sc"))
-    by_hits = Window.partitionBy(ANCHOR).orderBy(F.desc("hits"), CANDIDATE)
-    value = F.col("hits") / (F.col("sa") + F.col("sc") - F.col("hits"))
-    near = pairs.withColumn("_r", F.row_number().over(by_hits)).filter(F.col("_r") <= 2 * k).withColumn("jaccard", value).filter((F.col("jaccard") >= jaccard) | ((F.col("hits") >= low_common) & (F.col("jaccard") >= low_jaccard)))
-    return near.withColumn("_r", F.row_number().over(Window.partitionBy(ANCHOR).orderBy("_r"))).filter(F.col("_r") <= k).drop("_r", "sa", "sc")
+def tfidf_terms(values: DataFrame) -> DataFrame:
+    """Rows (country, _class, n, term, tf) of distinct values' word 1- and 2-grams."""
+    t = word_tokens(F.lower("value"))
+    two = F.when(F.size(t) > 1, F.transform(F.sequence(F.lit(1), F.size(t) - 1), lambda i: F.concat_ws(" ", F.element_at(t, i), F.element_at(t, i + 1)))).otherwise(F.array())
+    return values.select("country", "_class", "n", F.explode(F.concat(t, two)).alias("term")).groupBy("country", "_class", "term").agg(F.first("n").alias("n"), F.count("*").alias("tf"))
 
 
-def tfidf_weights(records: DataFrame, column: str, min_df: int = 2, max_df: float = 0.85, small: int = 10, fit_on: DataFrame | None = None) -> DataFrame:
-    """Sublinear, smoothed, L2-normalised weights of word 1- and 2-grams, per country.  The
-    document frequencies come from ``fit_on`` (the candidates)."""
+def tfidf_weights(values: DataFrame, fitted: DataFrame, records: DataFrame, min_df: int = 2, max_df: float = 0.85, small: int = 10) -> DataFrame:
+    """Sublinear, smoothed, L2-normalised weights (country, _class, term, w) of distinct
+    values.  Document frequencies and the number of documents in a country are those of the
+    candidates (``fitted``, ``records``), copies included."""
+    n = with_country(records).groupBy("country").agg(F.count("*").alias("all"))
+    df = tfidf_terms(fitted).groupBy("country", "term").agg(F.sum("n").alias("df")).join(n, "country")
+    df = df.filter((F.col("all") < small) | ((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("all"))))
+    idf = df.select("country", "term", (F.log((1 + F.col("all")) / (1 + F.col("df"))) + 1).alias("idf"))
+    w = tfidf_terms(values).join(idf, ["country", "term"]).withColumn("w", (1 + F.log("tf")) * F.col("idf"))
+    norm = Window.partitionBy("country", "_class")
+    return w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(norm))).select("country", "_class", "term", "w")
 
-    def terms(r):
-        t = F.regexp_extract_all(F.lower(column), F.lit("([a-z0-9_]{2,})"), 1)
-        two = F.when(F.size(t) > 1, F.transform(F.sequence(F.lit(1), F.size(t) - 1), lambda i: F.concat_ws(" ", F.element_at(t, i), F.element_at(t, i + 1)))).otherwise(F.array())
-        return with_country(r).select("entity_id", "country", F.explode(F.concat(t, two)).alias("term")).groupBy("entity_id", "country", "term").agg(F.count("*").alias("tf"))
 
-    fitted = fit_on if fit_on is not None else records
-    n = with_country(fitted).groupBy("country").agg(F.count("*").alias("n"))
-    df = terms(fitted).groupBy("country", "term").agg(F.count("*").alias("df")).join(F.broadcast(n), "country")
-    df = df.filter((F.col("n") < small) | ((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n"))))
-    idf = df.select("country", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    w = terms(records).join(idf, ["country", "term"]).withColumn("w", (1 + F.log("tf")) * F.col("idf"))
-    norm = Window.partitionBy("country", "entity_id")
-    return w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(norm))).select("entity_id", "country", "term", "w")
+def term_bounds(weights: DataFrame) -> DataFrame:
+    """The largest weight of each term: what it can add to a cosine at most."""
+    return weights.groupBy("country", "term").agg(F.max("w").alias("most"))
 
 
 def tfidf_join(anchors: DataFrame, candidates: DataFrame, column: str, k: int, strategy: str, least: float = 0.15, digits: int = 9) -> DataFrame:
     """Cosine top-k per candidate source.  Scores are rounded before ranking, so the order
-    of a sum cannot turn a tie."""
-    a = tfidf_weights(anchors, column, fit_on=candidates).select(F.col("entity_id").alias(ANCHOR), "country", "term", F.col("w").alias("wa"))
-    c = tfidf_weights(candidates, column).select(F.col("entity_id").alias(CANDIDATE), "country", "term", F.col("w").alias("wc"))
-    pairs = a.join(c, ["country", "term"]).groupBy(ANCHOR, CANDIDATE).agg(F.round(F.sum(F.col("wa") * F.col("wc")), digits).alias("score")).filter(F.col("score") >= least)
-    pairs = pairs.withColumn("candidate_source", F.split_part(F.col(CANDIDATE), F.lit("-"), F.lit(1)))
-    rank = Window.partitionBy(ANCHOR, "candidate_source").orderBy(F.desc("score"), CANDIDATE)
-    return pairs.withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= k).select(ANCHOR, CANDIDATE, F.lit(strategy).alias("strategy"), "score")
+    of a sum cannot turn a tie.
+
+    An anchor's terms are put in the order of what they can add (own weight times the term's
+    largest weight among candidates).  A pair that shares only terms from the tail, whose
+    bounds sum to less than ``least``, cannot reach it, so candidates are looked up by the
+    head alone; frequent terms weigh little and seldom are in a head.  Pairs found are then
+    scored on all terms.  Equal texts are joined once, and of a text's ids only the first k
+    can be among an anchor's k."""
+    a, a_ids = copies(with_country(anchors), F.col(column), "country")
+    c, c_ids = copies(with_country(candidates), F.col(column), "country")
+    wa = tfidf_weights(a, c, candidates).select("country", F.col("_class").alias("_a"), "term", F.col("w").alias("wa"))
+    wc = tfidf_weights(c, c, candidates)
+    bounds = term_bounds(wc)
+    wc = wc.select("country", F.col("_class").alias("_c"), "term", F.col("w").alias("wc"))
+    bounded_terms = wa.join(bounds, ["country", "term"]).withColumn("gain", F.col("wa") * F.col("most"))
+    tail = Window.partitionBy("country", "_a").orderBy("gain", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slack = 10.0**-digits  # scores are rounded
+    head = bounded_terms.withColumn("rest", F.sum("gain").over(tail)).filter(F.col("rest") >= least - slack)
+    found = head.select("country", "_a", "term").join(wc.select("country", "_c", "term"), ["country", "term"]).select("country", "_a", "_c").distinct()
+    vector = lambda w, key, weight: w.groupBy("country", key).agg(F.map_from_entries(F.collect_list(F.struct("term", weight))).alias(f"{key}v"))  # a text's terms
+    dot = F.aggregate(F.map_entries("_av"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at("_cv", e["key"]), F.lit(0.0)))
+    scored = found.join(vector(wa, "_a", "wa"), ["country", "_a"]).join(vector(wc, "_c", "wc"), ["country", "_c"]).select("country", "_a", "_c", F.round(dot, digits).alias("score")).filter(F.col("score") >= least)
+    source = F.split_part(F.col("entity_id"), F.lit("-"), F.lit(1))
+    ids = first_ids(c_ids.withColumn("candidate_source", source), k, "country", "candidate_source")
+    pairs = scored.join(ids.select("country", F.col("_class").alias("_c"), "candidate_source", F.col("entity_id").alias(CANDIDATE)), ["country", "_c"])
+    rank = Window.partitionBy("country", "_a", "candidate_source").orderBy(F.desc("score"), CANDIDATE)
+    top = pairs.withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= k)
+    out = top.join(a_ids.select("country", F.col("_class").alias("_a"), F.col("entity_id").alias(ANCHOR)), ["country", "_a"])
+    return out.select(ANCHOR, CANDIDATE, F.lit(strategy).alias("strategy"), "score")
 
 
 def valid_candidate() -> Column:
@@ -159,6 +215,11 @@ def valid_candidate() -> Column:
     return (c != "") & (c != a) & F.split_part(c, F.lit("-"), F.lit(1)).isin("S2", "S3")
 
 
+def known_only(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs whose candidate is on the whitelist (column entity_id)."""
+    return pairs.join(known.select(F.col("entity_id").alias(CANDIDATE)).distinct(), CANDIDATE, "left_semi")
+
+
 def union_pairs(*strategies: DataFrame, cap: int | None = None) -> DataFrame:
     """Distinct pairs with sorted provenance; at most ``cap`` a anchor, most strategies first."""
     rows = reduce(DataFrame.unionByName, [s.select(ANCHOR, CANDIDATE, "strategy") for s in strategies]).filter(valid_candidate())

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.functions import similarity as S
-from tessera.functions.text import word_tokens
-from tessera.operators.blocking import ANCHOR, CANDIDATE, house_key, postal_key, sorted_name_key, tokens_of
+from tessera.functions.text import LEGAL_SUFFIXES, UNIT, cleaned, name_representations, present, word_tokens
+from tessera.operators.blocking import ANCHOR, CANDIDATE, house_key, postal_key
 
 # Weights of the baseline score.
 NAME_WEIGHTS = {"exact": 0.20, "core": 0.20, "sorted": 0.10, "jaccard": 0.20, "levenshtein": 0.15, "jaro_winkler": 0.15}
@@ -17,39 +17,70 @@ PARTS = {"name": 0.50, "address": 0.35, "structured": 0.15}
 STRATEGIES = "exact_name exact_name_sorted exact_country_name exact_country_postal_name exact_country_postal_house exact_country_house_token name_token address_token char_ngram tfidf_name tfidf_addr".split()
 
 FIELDS = ("name", "core", "sorted", "address", "address_sorted", "postal", "house", "unit", "country")
+#: Of names and addresses: distinct words, letters and padded 3-grams as hashes, and the
+#: number of all words.
+SETS = tuple(f"{kind}_{x}" for kind in ("name", "address") for x in ("words", "letters", "grams", "n_words"))
 
 
-def profile(records: DataFrame) -> DataFrame:
-    """What scores compare, computed once a record (not once a pair)."""
-    name = F.array_join(tokens_of("business_name"), " ")
-    address = F.trim(F.regexp_replace(F.lower("business_address"), "[^a-z0-9,]+", " "))
-    parts = F.filter(F.transform(F.split(address, ","), lambda c: F.trim(c)), lambda c: c != "")
-    return records.select(
-        "entity_id", name.alias("name"), name.alias("core"), sorted_name_key(F.col("business_name")).alias("sorted"), address.alias("address"),
-        F.array_join(F.array_sort(parts), ", ").alias("address_sorted"), postal_key(F.col("business_address")).alias("postal"), house_key(F.col("business_address")).alias("house"),
-        F.nullif(F.regexp_extract(address, r"\b(?:apt|unit|suite|ste) ([a-z0-9]+)", 1), F.lit("")).alias("unit"), F.lower(F.trim("country")).alias("country"),
+#: Legal forms of one word; a name's core is the name without them.
+SUFFIXES = {w: w for w in LEGAL_SUFFIXES if w.isalpha()}
+
+
+def profile(records: DataFrame, suffixes: dict[str, str] | None = None) -> DataFrame:
+    """What scores compare, folded and trimmed, computed once a record (not once a pair).  A
+    core or order of words that is missing or empty falls back to the name, an address's
+    order of components to the address."""
+    name, address = cleaned("business_name"), cleaned("business_address")
+    held = name_representations("business_name", suffixes=SUFFIXES if suffixes is None else suffixes)
+    parts = F.filter(F.transform(F.split("address", ","), lambda c: F.trim(c)), lambda c: c != "")
+    r = records.select(
+        "entity_id", name.alias("name"), held["name_core"].alias("core"), held["name_sorted"].alias("sorted"), address.alias("address"), postal_key(F.col("business_address")).alias("postal"), house_key(F.col("business_address")).alias("house"), F.lower(F.trim("country")).alias("country"),
+    )
+    unit = present(F.regexp_extract("address", UNIT, 1))
+    sets: dict[str, Column] = {}
+    for kind in ("name", "address"):
+        words = F.coalesce(word_tokens(kind), F.array().cast("array<string>"))
+        grams = F.when(S.is_blank(kind), F.array().cast("array<string>")).otherwise(S.padded_ngrams(kind))
+        sets |= {f"{kind}_words": S.distinct_hashes(words), f"{kind}_letters": S.distinct_hashes(S.characters(F.coalesce(kind, F.lit("")))), f"{kind}_grams": S.distinct_hashes(grams), f"{kind}_n_words": F.size(words)}
+    return r.select(
+        "entity_id", "name", F.coalesce(present("core"), "name").alias("core"), F.coalesce(present("sorted"), "name").alias("sorted"), "address",
+        F.coalesce(present(F.array_join(F.array_sort(parts), ", ")), "address").alias("address_sorted"), "postal", "house", unit.alias("unit"), "country", *[sets[k].alias(k) for k in SETS],
     )
 
 
 def with_records(pairs: DataFrame, anchors: DataFrame, candidates: DataFrame) -> DataFrame:
     """Pairs with both records' fields as a_* and c_*; a missing record has null fields."""
-    side = lambda df, key, mark: df.select(F.col("entity_id").alias(key), *[F.col(f).alias(f"{mark}_{f}") for f in FIELDS])
+    side = lambda df, key, mark: df.select(F.col("entity_id").alias(key), *[F.col(f).alias(f"{mark}_{f}") for f in FIELDS + SETS])
     return pairs.join(side(anchors, ANCHOR, "a"), ANCHOR, "left").join(side(candidates, CANDIDATE, "c"), CANDIDATE, "left")
 
 
+def _sets(field: str) -> tuple[Column, Column]:
+    """Both records' sets; a pair without its record has empty ones."""
+    none = F.array().cast("array<bigint>")
+    return F.coalesce(f"a_{field}", none), F.coalesce(f"c_{field}", none)
+
+
+def _unless_blank(kind: str, value: Column) -> Column:
+    return F.when(S.is_blank(F.col(f"a_{kind}")) | S.is_blank(F.col(f"c_{kind}")), 0.0).otherwise(value)
+
+
+#: Edit similarities of the names, computed once for the scores and the features.
+EDITS = {"pair_levenshtein": lambda: S.levenshtein_similarity(*_pair("name"), fold=False), "pair_winkler": lambda: S.jaro_winkler(*_pair("name"), fold=False)}
+
+
 def _pair(field: str) -> tuple[Column, Column]:
     return F.col(f"a_{field}"), F.col(f"c_{field}")
 
 
 def baseline_parts() -> dict[str, Column]:
     name, core, ordered, address = _pair("name"), _pair("core"), _pair("sorted"), _pair("address")
-    n = {"exact": S.exact(*name), "core": S.exact(*core), "sorted": S.exact(*ordered), "jaccard": S.char_set_jaccard(*name), "levenshtein": S.levenshtein_similarity(*name), "jaro_winkler": S.jaro_winkler(*name)}
-    postal = S.compare_field(*_pair("postal"))
-    a = {"exact": S.exact(*address), "sorted": S.exact(*_pair("address_sorted")), "jaccard": S.char_set_jaccard(*address), "grams": S.char_ngram_jaccard(*address), "postal": F.when(postal["both_missing"] == 1, S.exact(*address)).otherwise(postal["exact"])}
+    n = {"exact": S.exact(*name, fold=False), "core": S.exact(*core, fold=False), "sorted": S.exact(*ordered, fold=False), "jaccard": _unless_blank("name", S.hashed_jaccard(*_sets("name_letters"))), "levenshtein": F.col("pair_levenshtein"), "jaro_winkler": F.col("pair_winkler")}
+    postal = S.compare_field(*_pair("postal"), fold=False)
+    a = {"exact": S.exact(*address, fold=False), "sorted": S.exact(*_pair("address_sorted"), fold=False), "jaccard": _unless_blank("address", S.hashed_jaccard(*_sets("address_letters"))), "grams": S.hashed_jaccard(*_sets("address_grams")), "postal": F.when(postal["both_missing"] == 1, S.exact(*address, fold=False)).otherwise(postal["exact"])}
     some = lambda f: ~(S.is_blank(F.col(f"a_{f}")) & S.is_blank(F.col(f"c_{f}")))
     fields = list(STRUCTURED_WEIGHTS)
     weight = sum((F.when(some(f), STRUCTURED_WEIGHTS[f]).otherwise(0.0) for f in fields), F.lit(0.0))
-    hits = sum((F.when(some(f), STRUCTURED_WEIGHTS[f] * S.exact(*_pair(f))).otherwise(0.0) for f in fields), F.lit(0.0))
+    hits = sum((F.when(some(f), STRUCTURED_WEIGHTS[f] * S.exact(*_pair(f), fold=False)).otherwise(0.0) for f in fields), F.lit(0.0))
     return {
         "name_similarity_score": sum((NAME_WEIGHTS[k] * v for k, v in n.items()), F.lit(0.0)),
         "address_similarity_score": F.when(S.is_blank(address[0]) | S.is_blank(address[1]), 0.0).otherwise(sum((ADDRESS_WEIGHTS[k] * v for k, v in a.items()), F.lit(0.0))),
@@ -60,7 +91,7 @@ def baseline_parts() -> dict[str, Column]:
 def score_pairs(pairs: DataFrame, float32: bool = True) -> DataFrame:
     """Baseline scores of pairs that carry records.  A country conflict scores nothing; a
     missing address gives its weight to the other parts."""
-    parts = pairs.withColumns(baseline_parts())
+    parts = pairs.withColumns({k: v() for k, v in EDITS.items()}).withColumns(baseline_parts())
     conflict = ~S.is_blank(F.col("a_country")) & ~S.is_blank(F.col("c_country")) & (F.col("a_country") != F.col("c_country"))
     no_address = S.is_blank(F.col("a_address")) | S.is_blank(F.col("c_address"))
     n, a, s = F.col("name_similarity_score"), F.col("address_similarity_score"), F.col("structured_similarity_score")
@@ -87,21 +118,21 @@ def pair_features() -> dict[str, Column]:
     for kind, ordered in (("name", "sorted"), ("address", "address_sorted")):
         a, c = _pair(kind)
         la, lc = F.coalesce(F.length(a), F.lit(0)), F.coalesce(F.length(c), F.lit(0))
-        ta, tc = F.coalesce(word_tokens(a), F.array().cast("array<string>")), F.coalesce(word_tokens(c), F.array().cast("array<string>"))
-        f[f"{kind}_exact_match"] = S.exact(a, c)
+        (ta, tc), (na, nc) = _sets(f"{kind}_words"), (F.coalesce(f"{m}_{kind}_n_words", F.lit(0)) for m in "ac")
+        f[f"{kind}_exact_match"] = S.exact(a, c, fold=False)
         if kind == "name":
-            f["name_core_exact_match"] = S.exact(*_pair("core"))
-        f[f"{kind}_sorted_exact_match"] = S.exact(*_pair(ordered))
+            f["name_core_exact_match"] = S.exact(*_pair("core"), fold=False)
+        f[f"{kind}_sorted_exact_match"] = S.exact(*_pair(ordered), fold=False)
         f |= {f"{kind}_length_s1": la, f"{kind}_length_cand": lc, f"{kind}_length_diff": F.abs(la - lc), f"{kind}_length_ratio": F.when(F.greatest(la, lc) > 0, F.least(la, lc) / F.greatest(la, lc)).otherwise(0.0)}
-        f |= {f"{kind}_token_count_s1": F.size(ta), f"{kind}_token_count_cand": F.size(tc), f"{kind}_token_count_diff": F.abs(F.size(ta) - F.size(tc))}
-        f |= {f"{kind}_token_jaccard": S.set_jaccard(ta, tc), f"{kind}_token_overlap": S.set_overlap(ta, tc), f"{kind}_char_3gram_jaccard": S.char_ngram_jaccard(a, c), f"{kind}_levenshtein_sim": S.levenshtein_similarity(a, c)}
+        f |= {f"{kind}_token_count_s1": na, f"{kind}_token_count_cand": nc, f"{kind}_token_count_diff": F.abs(na - nc)}
+        f |= {f"{kind}_token_jaccard": S.hashed_jaccard(ta, tc), f"{kind}_token_overlap": S.hashed_overlap(ta, tc), f"{kind}_char_3gram_jaccard": S.hashed_jaccard(*_sets(f"{kind}_grams")), f"{kind}_levenshtein_sim": one("pair_levenshtein") if kind == "name" else S.levenshtein_similarity(a, c, fold=False)}
         if kind == "name":
-            f |= {"name_jaro_winkler": S.jaro_winkler(a, c), "name_prefix_similarity": S.prefix_ratio(a, c), "name_suffix_similarity": S.suffix_ratio(a, c)}
+            f |= {"name_jaro_winkler": one("pair_winkler"), "name_prefix_similarity": S.prefix_ratio(a, c, fold=False), "name_suffix_similarity": S.suffix_ratio(a, c, fold=False)}
     for field in ("postal", "house"):
         label = "house_number" if field == "house" else field
-        c4 = S.compare_field(*_pair(field))
+        c4 = S.compare_field(*_pair(field), fold=False)
         f |= {f"{label}_exact_match": c4["exact"], f"{label}_both_present": c4["both_present"], f"{label}_one_missing": c4["one_missing"], f"{label}_both_missing": c4["both_missing"]}
-    unit = S.compare_field(*_pair("unit"))
+    unit = S.compare_field(*_pair("unit"), fold=False)
     f |= {"unit_exact_match": unit["exact"], "unit_both_present": unit["both_present"]}
     for kind in ("name", "address"):
         a, c = missing[kind]
@@ -109,7 +140,7 @@ def pair_features() -> dict[str, Column]:
     f |= {f"missing_{side}_{kind}": flag(missing[kind][i]) for kind in ("country", "postal") for i, side in enumerate(("s1", "cand"))}
     f["missing_field_count_total"] = sum((flag(m) for kind in ("name", "address", "country", "postal") for m in missing[kind]), F.lit(0.0))
     conflict = ~missing["country"][0] & ~missing["country"][1] & (F.col("a_country") != F.col("c_country"))
-    country = S.exact(*_pair("country"))
+    country = S.exact(*_pair("country"), fold=False)
     f |= {
         "cross_name_address_exact": f["name_exact_match"] * f["address_exact_match"], "cross_name_postal_exact": f["name_exact_match"] * f["postal_exact_match"], "cross_name_jaccard_country": f["name_token_jaccard"] * country,
         "cross_name_address_jaccard": f["name_token_jaccard"] * f["address_token_jaccard"], "cross_address_jaccard_postal": f["address_token_jaccard"] * f["postal_exact_match"], "cross_country_postal": country * f["postal_exact_match"],

@@ -197,12 +197,20 @@ def feature_quality(features: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def feature_redundancy(features: DataFrame, columns: list[str], least: float = 0.95) -> DataFrame:
-    """Pairs of features whose Pearson correlation is at least ``least`` in size, from one
-    pass over sums (as many as pairs of columns)."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    row = features.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    rows = row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"{i}").alias("r")) for i, (a, b) in enumerate(pairs)])).alias("x")).select("x.*")
-    return rows.filter(F.col("r").isNotNull() & ~F.isnan("r") & (F.abs("r") >= least)).withColumn("duplicate", F.abs("r") >= 0.9999)
+    """Pairs of features whose Pearson correlation is at least ``least`` in size.  One pass
+    adds up the matrix of products (columns by columns, whatever the rows); constant features
+    correlate with nothing."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    spark = features.sparkSession
+    schema = "feature_a string, feature_b string, r double, duplicate boolean"
+    rows = features.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
+    if rows.isEmpty():
+        return spark.createDataFrame([], schema)
+    r = Correlation.corr(VectorAssembler(inputCols=columns, outputCol="v").transform(rows).select("v"), "v").first()[0].toArray()
+    found = [(a, b, float(r[i, j]), bool(abs(r[i, j]) >= 0.9999)) for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j and abs(r[i, j]) >= least]
+    return spark.createDataFrame(found, schema)
 
 
 def feature_separation(features: DataFrame, columns: list[str], label: str = "label") -> DataFrame:

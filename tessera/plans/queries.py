@@ -43,9 +43,9 @@ def scan_project_slim(s, d):
     return V.table(s, d, "documents").filter("lang = 'en' AND n_chars > 500").select("doc_id", "source", "n_chars")
 
 
-@query("SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 100")
+@query("SELECT doc_id, lang FROM documents LIMIT 100")
 def scan_leading_sample(s, d):
-    return V.table(s, d, "documents").select("doc_id", "lang").orderBy("doc_id").limit(100)
+    return files.leading(V.table(s, d, "documents").select("doc_id", "lang"), 100)
 
 
 @query("SELECT doc_id, lang, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
@@ -82,15 +82,28 @@ def norm_whitespace(s, d):
     return _names(s, d).select("c_custkey", X.collapse_whitespace("v").alias("v"))
 
 
-@query("SELECT doc_id, regexp_replace(left(text, 200), '[^a-zA-Z0-9 &''\\-.#,/]', '~', 'g') AS kept FROM documents WHERE regexp_full_match(left(text, 200), '[\\x00-\\x7f]*')")
+_KEPT, _HELD = X.KEPT_PUNCTUATION.replace("'", "''"), "".join(chr(0xE000 + i) for i in range(len(X.KEPT_PUNCTUATION)))
+
+
+def _fold_sql(x: str) -> str:
+    for k, v in X.FOLDS.items():
+        x = f"replace({x}, chr({ord(k)}), '{v.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+@query(f"SELECT doc_id, {_fold_sql('text')} AS folded FROM documents")
+def norm_fold_punctuation(s, d):
+    return V.table(s, d, "documents").select("doc_id", X.fold_punctuation("text").alias("folded"))
+
+
+@query(f"SELECT doc_id, translate(regexp_replace(regexp_replace(regexp_replace(translate({_fold_sql('text')}, '{_KEPT}', '{_HELD}'), '[\\p{{P}}\\p{{S}}]', ' ', 'g'), '[\\s\\p{{Zs}}]', ' ', 'g'), '[^\\p{{L}}\\p{{N}}\\p{{M}} {_HELD}]', '', 'g'), '{_HELD}', '{_KEPT}') AS kept FROM documents")
 def norm_punctuation_policy(s, d):
-    t = F.substring("text", 1, 200)
-    return V.table(s, d, "documents").filter(X.is_ascii(t)).select("doc_id", F.regexp_replace(t, r"[^a-zA-Z0-9 &'\-.#,/]", "~").alias("kept"))
+    return V.table(s, d, "documents").select("doc_id", X.punctuation_policy("text").alias("kept"))
 
 
-@query("SELECT page_id, length(regexp_replace(html, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g')) AS n FROM pages")
+@query(f"SELECT page_id, regexp_replace(html, '{X.CONTROL}', '', 'g') AS stripped FROM pages")
 def norm_control_strip(s, d):
-    return V.table(s, d, "pages").select("page_id", F.length(F.regexp_replace("html", r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")).cast("long").alias("n"))
+    return V.table(s, d, "pages").select("page_id", X.strip_control("html").alias("stripped"))
 
 
 @query()
@@ -98,10 +111,10 @@ def norm_nfkc_casefold(s, d):
     return V.table(s, d, "documents").select("doc_id", X.casefold("text").alias("folded"), X.punctuation_policy(X.casefold("text")).alias("plain"))
 
 
-@query(f"WITH {V.KEYED} SELECT entity_id, array_to_string(tok, ' ') AS name, array_to_string(list_sort(tok), ' ') AS name_sorted, len(tok) AS n_tokens FROM kr")
+@query(f"WITH {V.ER}, t AS (SELECT entity_id, regexp_extract_all(replace({V.sql_cleaned('business_name')}, '&', ' and '), '[\\p{{L}}\\p{{N}}]+') AS tok FROM er) SELECT entity_id, array_to_string(tok, ' ') AS name, array_to_string(list_filter(tok, lambda x: x NOT IN ({V._LEGAL})), ' ') AS name_core, array_to_string(list_sort(tok), ' ') AS name_sorted, len(tok) AS n_tokens FROM t")
 def norm_name_repr(s, d):
-    n = X.name_representations("business_name", ascii_only=True)
-    return B.with_country(V.records(s, d)).select("entity_id", n["name"].alias("name"), n["name_sorted"].alias("name_sorted"), F.size(n["name_tokens"]).cast("long").alias("n_tokens"))
+    n = X.name_representations("business_name", suffixes=M.SUFFIXES)
+    return V.records(s, d).select("entity_id", n["name"].alias("name"), n["name_core"].alias("name_core"), n["name_sorted"].alias("name_sorted"), F.size(n["name_tokens"]).cast("long").alias("n_tokens"))
 
 
 _PARTS = "list_filter(list_transform(string_split(lower(business_address), ','), lambda x: trim(regexp_replace(x, ' +', ' ', 'g'))), lambda x: x <> '')"
@@ -133,23 +146,26 @@ def norm_token_map(s, d):
     return B.with_country(V.records(s, d)).select("entity_id", F.array_join(X.map_tokens(B.tokens_of("business_name"), _MAP), " ").alias("mapped"))
 
 
-@query(f"WITH {V.KEYED} SELECT entity_id, array_to_string(tok, '|') AS tokens, len(tok) AS n FROM kr")
+_NAME_WORDS = f"nw AS (SELECT entity_id, regexp_extract_all(business_name, '[\\p{{L}}\\p{{N}}]+') AS tok FROM er WHERE trim(country) <> '')"
+
+
+@query(f"WITH {V.ER}, {_NAME_WORDS} SELECT entity_id, array_to_string(tok, '|') AS tokens, len(tok) AS n FROM nw")
 def tokens_alnum(s, d):
     t = X.alnum_tokens("business_name")
     return B.with_country(V.records(s, d)).select("entity_id", F.array_join(t, "|").alias("tokens"), F.size(t).cast("long").alias("n"))
 
 
-@query(f"WITH {V.ER} SELECT entity_id, array_to_string({V.sql_grams('c', 3, False)}, '|') AS grams FROM (SELECT entity_id, replace(business_name, ' ', '') AS c FROM er)")
+@query(f"WITH {V.ER} SELECT entity_id, array_to_string({V.sql_grams('c', 3, False)}, '|') AS grams FROM (SELECT entity_id, regexp_replace(business_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') AS c FROM er)")
 def tokens_char_ngrams(s, d):
     return V.records(s, d).select("entity_id", F.array_join(X.char_ngrams(X.compact("business_name"), 3), "|").alias("grams"))
 
 
-@query(f"WITH {V.KEYED} SELECT entity_id, array_to_string(list_sort(list_filter(tok, lambda x: len(x) >= 3 AND x NOT IN ('the', 'and'))), ' ') AS tokens FROM kr")
+@query(f"WITH {V.ER}, {_NAME_WORDS} SELECT entity_id, array_to_string(list_sort(list_filter(tok, lambda x: len(x) >= 3 AND x NOT IN ('the', 'and'))), ' ') AS tokens FROM nw")
 def tokens_normalized_sorted(s, d):
     return B.with_country(V.records(s, d)).select("entity_id", F.array_join(X.normalized_tokens("business_name", ("the", "and"), 3, True), " ").alias("tokens"))
 
 
-@query(f"WITH {V.ER} SELECT entity_id, array_to_string(list_transform(range(1, greatest(len(t), 1)), lambda i: t[i] || ' ' || t[i + 1]), '|') AS bigrams FROM (SELECT entity_id, regexp_extract_all(business_name, '[a-z0-9]+') AS t FROM er)")
+@query(f"WITH {V.ER} SELECT entity_id, array_to_string(list_transform(range(1, greatest(len(t), 1)), lambda i: t[i] || ' ' || t[i + 1]), '|') AS bigrams FROM (SELECT entity_id, regexp_extract_all(lower(business_name), '[a-z0-9]+') AS t FROM er)")
 def alt_word_ngrams(s, d):
     return V.records(s, d).select("entity_id", F.array_join(X.word_ngrams(B.tokens_of("business_name"), 2), "|").alias("bigrams"))
 
@@ -198,19 +214,19 @@ for _family in M.STRATEGIES[:6]:
     query(f"{_EXACT} SELECT source1_entity_id, candidate_entity_id, hits FROM pe WHERE strategy = '{_family}'", f"block_{_family}")(lambda s, d, f=_family: _exact(s, d).filter(F.col("strategy") == f).select(ANCHOR, CANDIDATE, "hits"))
 
 
-@query(f"WITH {V.KEYED}, {V.TOKEN_KEYS}, {V.join_cte('nk', 'pn')}, {V.top_cte('pn', 'pt', 10)} SELECT * FROM pt")
+@query(f"WITH {V.KEYED}, {V.TOKEN_KEYS}, {V.join_cte('nk', 'pn', V.MOST_TOKEN)}, {V.top_cte('pn', 'pt')} SELECT * FROM pt")
 def block_name_token_topk(s, d):
     a, c = V.sides(s, d)
-    return B.top_by_hits(B.key_join(B.name_token_keys(a), B.name_token_keys(c), V.MOST_TOKEN), 10)
+    return B.top_by_hits(B.key_join(B.name_token_keys(a), B.name_token_keys(c), V.MOST_TOKEN), 50)
 
 
-@query(f"WITH {V.KEYED}, {V.ADDRESS_KEYS}, {V.join_cte('ak', 'pa')}, {V.top_cte('pa', 'pt', 10)} SELECT * FROM pt")
+@query(f"WITH {V.KEYED}, {V.ADDRESS_KEYS}, {V.join_cte('ak', 'pa')}, {V.top_cte('pa', 'pt')} SELECT * FROM pt")
 def block_address_token_topk(s, d):
     a, c = V.sides(s, d)
     return B.top_by_hits(B.key_join(B.address_keys(a), B.address_keys(c), V.MOST_BLOCK), 50)
 
 
-_GRAM = f"""WITH {V.KEYED}, g AS (SELECT entity_id, country, 'char_ngram' AS strategy, len(gs) AS size, unnest(gs) AS key FROM (SELECT *, list_distinct({V.sql_grams('name', 3, True)}) AS gs FROM kr WHERE len(name) >= 3)), {V.join_cte('g', 'pg', 40)},
+_GRAM = f"""WITH {V.KEYED}, g AS (SELECT entity_id, country, 'char_ngram' AS strategy, len(gs) AS size, unnest(gs) AS key FROM (SELECT *, list_distinct({V.sql_grams('name', 3, True)}) AS gs FROM kr WHERE len(name) >= 3)), {V.join_cte('g', 'pg')},
  sz AS (SELECT DISTINCT entity_id, size FROM g), j AS (SELECT pg.*, hits::DOUBLE / (a.size + c.size - hits) AS jaccard, row_number() OVER (PARTITION BY source1_entity_id ORDER BY hits DESC, candidate_entity_id) AS r FROM pg JOIN sz a ON a.entity_id = source1_entity_id JOIN sz c ON c.entity_id = candidate_entity_id),
  k AS (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY r) AS r2 FROM j WHERE r <= 40 AND (jaccard >= 0.35 OR (hits >= 5 AND jaccard >= 0.25)))
  SELECT source1_entity_id, candidate_entity_id, strategy, hits, round(jaccard, 6) AS jaccard FROM k WHERE r2 <= 20"""
@@ -219,11 +235,11 @@ _GRAM = f"""WITH {V.KEYED}, g AS (SELECT entity_id, country, 'char_ngram' AS str
 @query(_GRAM)
 def block_char_ngram(s, d):
     a, c = V.sides(s, d)
-    return rounded(B.ngram_join(a, c, most=40))
+    return rounded(B.ngram_join(a, c))
 
 
 def _tfidf_sql(column: str, k: int, strategy: str) -> str:
-    return f"""WITH {V.ER}, t AS (SELECT entity_id, lower(trim(country)) AS country, regexp_extract_all(lower({column}), '[a-z0-9_]{{2,}}') AS w FROM er),
+    return f"""WITH {V.ER}, t AS (SELECT entity_id, lower(trim(country)) AS country, regexp_extract_all(lower({column}), '[\\p{{L}}\\p{{N}}_]+') AS w FROM er),
  tm AS (SELECT entity_id, country, term, count(*) AS tf FROM (SELECT entity_id, country, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM t) GROUP BY ALL),
  n AS (SELECT country, count(*) AS n FROM t WHERE entity_id NOT LIKE 'S1-%' GROUP BY 1), idf AS (SELECT country, term, ln((1 + n)::DOUBLE / (1 + count(*))) + 1 AS idf FROM tm JOIN n USING (country) WHERE entity_id NOT LIKE 'S1-%' GROUP BY country, term, n HAVING n < 10 OR (count(*) >= 2 AND count(*) <= 0.85 * n)),
  w AS (SELECT entity_id, country, term, (1 + ln(tf)) * idf AS w FROM tm JOIN idf USING (country, term)), nw AS (SELECT entity_id, country, term, w / sqrt(sum(w * w) OVER (PARTITION BY country, entity_id)) AS w FROM w),
@@ -231,16 +247,16 @@ def _tfidf_sql(column: str, k: int, strategy: str) -> str:
  SELECT source1_entity_id, candidate_entity_id, '{strategy}' AS strategy, round(score, 6) AS score FROM p QUALIFY row_number() OVER (PARTITION BY source1_entity_id, split_part(candidate_entity_id, '-', 1) ORDER BY score DESC, candidate_entity_id) <= {k}"""
 
 
-@query(_tfidf_sql("business_name", 10, "tfidf_name"))
+@query(_tfidf_sql("business_name", 50, "tfidf_name"))
 def block_tfidf_name(s, d):
     a, c = V.sides(s, d)
-    return rounded(B.tfidf_join(a, c, "business_name", 10, "tfidf_name"))
+    return rounded(B.tfidf_join(a, c, "business_name", 50, "tfidf_name"))
 
 
-@query(_tfidf_sql("business_address", 5, "tfidf_addr"))
+@query(_tfidf_sql("business_address", 50, "tfidf_addr"))
 def block_tfidf_addr(s, d):
     a, c = V.sides(s, d)
-    return rounded(B.tfidf_join(a, c, "business_address", 5, "tfidf_addr"))
+    return rounded(B.tfidf_join(a, c, "business_address", 50, "tfidf_addr"))
 
 
 @query(f"WITH {V.PAIRS} SELECT * FROM pairs")
@@ -248,10 +264,10 @@ def block_union_provenance(s, d):
     return V.key_pairs(s, d)
 
 
-@query(f"WITH {V.KEYED}, {V.EXACT_KEYS}, {V.TOKEN_KEYS}, {V.join_cte('ek', 'pe')}, {V.join_cte('nk', 'pn')}, {V.union_cte(['pe', 'pn'], 'u', 5)} SELECT * FROM u")
+@query(f"WITH {V.KEYED}, {V.EXACT_KEYS}, {V.TOKEN_KEYS}, {V.join_cte('ek', 'pe')}, {V.join_cte('nk', 'pn', V.MOST_TOKEN)}, {V.union_cte(['pe', 'pn'], 'u')} SELECT * FROM u")
 def block_union_cap(s, d):
     a, c = V.sides(s, d)
-    return B.union_pairs(_exact(s, d), B.key_join(B.name_token_keys(a), B.name_token_keys(c), V.MOST_TOKEN), cap=5)
+    return B.union_pairs(_exact(s, d), B.key_join(B.name_token_keys(a), B.name_token_keys(c), V.MOST_TOKEN), cap=100)
 
 
 @query(f"WITH {V.PAIRS} SELECT e.entity_id AS source1_entity_id, coalesce(l.ids, '') AS candidate_entity_ids FROM er e LEFT JOIN (SELECT source1_entity_id AS s, array_to_string(list_sort(list(candidate_entity_id)), ',') AS ids FROM pairs GROUP BY 1) l ON l.s = e.entity_id WHERE e.entity_id LIKE 'S1-%'")
@@ -450,24 +466,23 @@ for _group, _in in _GROUPS.items():
         lambda s, d, c=tuple(_columns): rounded(_features(s, d).select(ANCHOR, CANDIDATE, *c), 4)
     )
 
-_FEW = ["name_token_jaccard", "name_levenshtein_sim", "name_jaro_winkler", "address_token_jaccard", "postal_exact_match", "baseline_score_feature", "blocking_strategy_count", "name_exact_match"]
-_FEW_SQL = f"WITH {_LABELLED}, fx AS (SELECT label, candidate_source, {', '.join(f'({_FEATURE_SQL[k]})::FLOAT::DOUBLE AS {k}' for k in _FEW)} FROM lp), fu AS (UNPIVOT fx ON {', '.join(_FEW)} INTO NAME feature VALUE v)"
+_ALL = list(_FEATURE_SQL)
+_ALL_SQL = f"WITH {_LABELLED}, fx AS (SELECT row_number() OVER () AS i, label, candidate_source, {', '.join(f'({v})::FLOAT::DOUBLE AS {k}' for k, v in _FEATURE_SQL.items())} FROM lp), fu AS (UNPIVOT fx ON {', '.join(_ALL)} INTO NAME feature VALUE v)"
 
 
-@query(f"{_FEW_SQL} SELECT feature, count(*) AS n_rows, {r6('min(v) AS least', 'max(v) AS most', 'avg(v) AS mean', 'quantile_cont(v, 0.5) AS median', 'stddev_pop(v) AS std')} FROM fu GROUP BY 1")
+@query(f"{_ALL_SQL} SELECT feature, count(*) AS n_rows, {r6('0 AS missing', 'min(v) AS least', 'max(v) AS most', 'avg(v) AS mean', 'quantile_cont(v, 0.5) AS median', 'stddev_pop(v) AS std')}, count(DISTINCT v) AS distinct_values, count(DISTINCT v) <= 1 AS constant FROM fu GROUP BY 1")
 def feat_quality(s, d):
-    q = P.feature_quality(_features(s, d), _FEW)
-    return rounded(q.select("feature", F.col("rows").alias("n_rows"), "least", "most", "mean", "median", "std"))
+    return rounded(P.feature_quality(_features(s, d), _ALL).withColumnRenamed("rows", "n_rows"))
 
 
-@query(f"{_FEW_SQL} SELECT feature, {r6('m1 AS mean_pos', 'm0 AS mean_neg', 'CASE WHEN s > 0 THEN (m1 - m0) / s ELSE 0 END AS cohens_d')} FROM (SELECT feature, avg(v) FILTER (label = 1) AS m1, avg(v) FILTER (label = 0) AS m0, sqrt((stddev_pop(v) FILTER (label = 1) ^ 2 + stddev_pop(v) FILTER (label = 0) ^ 2) / 2) AS s FROM fu GROUP BY 1)")
+@query(f"{_ALL_SQL} SELECT feature, {r6('m1 AS mean_pos', 'm0 AS mean_neg', 'CASE WHEN s > 0 THEN (m1 - m0) / s ELSE 0 END AS cohens_d')} FROM (SELECT feature, avg(v) FILTER (label = 1) AS m1, avg(v) FILTER (label = 0) AS m0, sqrt((stddev_pop(v) FILTER (label = 1) ^ 2 + stddev_pop(v) FILTER (label = 0) ^ 2) / 2) AS s FROM fu GROUP BY 1)")
 def feat_separation(s, d):
-    return rounded(P.feature_separation(_features(s, d), _FEW))
+    return rounded(P.feature_separation(_features(s, d), _ALL))
 
 
-@query(f"{_FEW_SQL} " + " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(r, 4) AS r FROM (SELECT corr({a}, {b}) AS r FROM fx) WHERE abs(r) >= 0.7" for i, a in enumerate(_FEW) for b in _FEW[i + 1 :]))
+@query(f"{_ALL_SQL}, ok AS (SELECT feature FROM fu GROUP BY 1 HAVING min(v) < max(v)), z AS (SELECT i, feature, (v - avg(v) OVER w) / stddev_pop(v) OVER w AS v FROM fu SEMI JOIN ok USING (feature) WINDOW w AS (PARTITION BY feature)), fo AS (SELECT feature, row_number() OVER (ORDER BY list_position({_ALL!r}, feature)) AS o FROM (SELECT DISTINCT feature FROM z)), rr AS (SELECT x.feature AS feature_a, y.feature AS feature_b, avg(x.v * y.v) AS r FROM z x JOIN fo a ON a.feature = x.feature JOIN z y ON x.i = y.i JOIN fo b ON b.feature = y.feature AND a.o < b.o GROUP BY 1, 2) SELECT feature_a, feature_b, round(r, 4) AS r, abs(r) >= 0.9999 AS duplicate FROM rr WHERE abs(r) >= 0.95")
 def feat_redundancy(s, d):
-    return rounded(P.feature_redundancy(_features(s, d), _FEW, 0.7).select("feature_a", "feature_b", "r"), 4)
+    return rounded(P.feature_redundancy(_features(s, d), _ALL), 4)
 
 
 @query(f"WITH {_LABELLED} SELECT part, count(*) AS pairs, sum(label)::BIGINT AS positives, round(avg(label), 6) AS share FROM (SELECT unnest(['all', candidate_source]) AS part, label FROM lp) GROUP BY 1")
@@ -833,16 +848,38 @@ def key_overlap(s, d):
     return P.key_overlap(B.with_country(V.records(s, d)), B.clean_name_key(F.col("business_name")))
 
 
-_VB = {f: V.blank(f) for f in ("a_address", "c_address")}
-_VBOTH = f"(NOT {_VB['a_address']} AND NOT {_VB['c_address']})"
+_VMARK = lambda x: f"list_sort(list_distinct(regexp_extract_all({x}, '[^\\p{{L}}\\p{{N}}\\s]')))"
 _VNUM = lambda x: f"list_sort(list_distinct(regexp_extract_all({x}, '[0-9]+')))"
-_VTOK = lambda x: f"regexp_extract_all({x}, '[a-z0-9]+')"
+_VTOK = lambda x: f"regexp_extract_all({x}, '[\\p{{L}}\\p{{N}}]+')"
+_VSQL = {
+    "missing_on_one_side": "ba <> bb", "identical": "NOT ba AND NOT bb AND a = b", "case": "differ AND la <> lb", "whitespace": "differ AND la <> lb AND wa = wb", "punctuation": f"differ AND {_VMARK('wa')} <> {_VMARK('wb')}",
+    "token_reordering": "differ AND ta = tb", "token_order": "differ AND ta <> tb AND list_sort(ta) = list_sort(tb)", "spelling_variation": "differ AND ca <> cb AND dice >= 0.72", "numeric_component": f"differ AND {_VNUM('a')} <> {_VNUM('b')}",
+}
+
+
+def _variation_sql(field: str) -> str:
+    grams = lambda x: V.sql_grams(x, 2, False)
+    dice = V.sql_ratio(f"2 * len(list_intersect({grams('ca')}, {grams('cb')}))", f"(len(list_distinct({grams('ca')})) + len(list_distinct({grams('cb')})))")
+    return f"""WITH {V.PAIRS}, v0 AS (SELECT x.{field} AS a, y.{field} AS b, lower(x.{field}) AS la, lower(y.{field}) AS lb, {V.blank('x.' + field)} AS ba, {V.blank('y.' + field)} AS bb FROM pairs JOIN er x ON x.entity_id = source1_entity_id JOIN er y ON y.entity_id = candidate_entity_id),
+ v1 AS (SELECT *, NOT ba AND NOT bb AND a <> b AS differ, trim(regexp_replace(la, '\\s+', ' ', 'g')) AS wa, trim(regexp_replace(lb, '\\s+', ' ', 'g')) AS wb FROM v0), v2 AS (SELECT *, {_VTOK('wa')} AS ta, {_VTOK('wb')} AS tb FROM v1),
+ v3 AS (SELECT *, array_to_string(ta, '') AS ca, array_to_string(tb, '') AS cb FROM v2), v4 AS (SELECT *, {V.sql_unless_blank('ca', 'cb', dice)} AS dice FROM v3),
+ v AS (SELECT {', '.join(f'count(*) FILTER ({c}) AS "{k}"' for k, c in _VSQL.items())} FROM v4) SELECT category, n::BIGINT AS n FROM (UNPIVOT v ON {', '.join(f'"{k}"' for k in _VSQL)} INTO NAME category VALUE n)"""
+
 
+def _raw_pairs(s, d):
+    r = V.records(s, d)
+    side = lambda key, mark: r.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{mark}_{c}") for c in ("business_name", "business_address")])
+    return V.key_pairs(s, d).join(side(ANCHOR, "a"), ANCHOR).join(side(CANDIDATE, "c"), CANDIDATE)
 
-@query(f"""WITH {V.RECORD_PAIRS}, v AS (SELECT count(*) FILTER ({_VB['a_address']} <> {_VB['c_address']}) AS missing_on_one_side, count(*) FILTER ({_VBOTH} AND a_address = c_address) AS identical, count(*) FILTER ({_VBOTH} AND a_address <> c_address AND {_VNUM('a_address')} <> {_VNUM('c_address')}) AS numeric_component,
- count(*) FILTER ({_VBOTH} AND a_address <> c_address AND {_VTOK('a_address')} <> {_VTOK('c_address')} AND list_sort({_VTOK('a_address')}) = list_sort({_VTOK('c_address')})) AS token_order FROM rp) SELECT category, n::BIGINT AS n FROM (UNPIVOT v ON missing_on_one_side, identical, numeric_component, token_order INTO NAME category VALUE n)""")
+
+@query(_variation_sql("business_name"))
 def variation_categories(s, d):
-    return P.variation_counts(V.record_pairs(s, d), "address").filter(F.col("category").isin("missing_on_one_side", "identical", "numeric_component", "token_order"))
+    return P.variation_counts(_raw_pairs(s, d), "business_name")
+
+
+@query(_variation_sql("business_address"))
+def variation_address(s, d):
+    return P.variation_counts(_raw_pairs(s, d), "business_address")
 
 
 @query(f"WITH {V.KEYED} SELECT tok[-1] AS token, count(*) AS n FROM kr WHERE len(tok) > 1 GROUP BY 1 HAVING count(*) >= 5")

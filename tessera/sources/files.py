@@ -65,8 +65,9 @@ def leading(df: DataFrame, n: int) -> DataFrame:
 
 
 def needed(df: DataFrame, wanted: DataFrame, key: str = "entity_id") -> DataFrame:
-    """Rows whose key is wanted, one a key."""
-    return df.join(wanted.select(key).distinct(), key, "left_semi").dropDuplicates([key])
+    """Rows whose key is wanted; of rows with one key the last in file order."""
+    rows = df.join(wanted.select(key).distinct(), key, "left_semi").select(key, F.struct(F.monotonically_increasing_id().alias("_at"), *df.columns).alias("_row"))
+    return rows.groupBy(key).agg(F.max_by("_row", "_row._at").alias("_row")).select("_row.*").drop("_at").select(*df.columns)
 
 
 def pool(sources: list[DataFrame], wanted: DataFrame, background: int, key: str = "entity_id") -> DataFrame:
