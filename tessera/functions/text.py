@@ -84,12 +84,23 @@ def punctuation_policy(x) -> Column:
     return F.regexp_replace(out, rf"[^\p{{L}}\p{{N}}\p{{M}} {kept.replace('&', chr(92) + '&')}]", "")
 
 
+# Letters that fold to more than one.
+SPELLED_OUT = {"\u00df": "ss", "\u1e9e": "ss", "\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st", "\u0149": "\u02bcn", "\u01f0": "j\u030c", "\u0587": "\u0565\u0582"}
+#: Letters whose folded form is another letter than their lower case (both final and long s,
+#: old forms of Greek letters, ...), by Unicode's own rule.
+_LETTERS = [c for c in map(chr, range(128, 0x20000)) if len(c.casefold()) == 1 and c.casefold() != c.lower() and not 0x13A0 <= ord(c) <= 0x13FF and not 0xAB70 <= ord(c) <= 0xABBF]
+FOLD_FROM, FOLD_TO = "".join(_LETTERS), "".join(c.casefold() for c in _LETTERS)
+
+
 def casefold(x) -> Column:
-    """Full case folding: upper case first, since it spells out ligatures and sharp s, then
-    lower case.  The dotless i has no other case, and the final sigma is a sigma."""
+    """Full case folding in the JVM; only Greek letters with an iota below, or with several
+    accents and no capital of their own, keep them."""
     x = _column(x)
-    full = F.lower(F.upper(F.translate(x, "\u0131\u1e9e", "\ue000\u00df")))
-    return F.when(is_ascii(x), F.lower(x)).otherwise(F.translate(full, "\ue000\u03c2", "\u0131\u03c3"))
+    full = x
+    for letter, spelled in SPELLED_OUT.items():
+        full = F.replace(full, F.lit(letter), F.lit(spelled))
+    full = F.translate(F.lower(full), FOLD_FROM, FOLD_TO)
+    return F.when(is_ascii(x), F.lower(x)).otherwise(full)
 
 
 def stages(x, ascii_only: bool = False, form: str = "NFKC") -> dict[str, Column]:
@@ -231,23 +242,24 @@ def plan(columns: list[str]) -> dict[str, tuple[str, ...]]:
 def representations(df: DataFrame, columns: list[str] | None = None, rules: dict | None = None) -> DataFrame:
     """The table with all its columns as they are and a column ``<column>__<name>`` for each
     planned representation.  ``rules``: abbreviations, suffixes and address tables."""
-    rules = rules or {}
+    rules, planned = rules or {}, plan(columns or df.columns)
+    text = lambda c: F.col(c).cast("string")
+    # The stages first: Python may not stand inside the functions below.
+    df = df.withColumns({f"{c}__{n}": v for c in planned for n, v in {"raw": text(c), **stages(text(c))}.items()})
     out: dict[str, Column] = {}
-    for c, names in plan(columns or df.columns).items():
-        x = F.col(c).cast("string")
-        held = {"raw": x, **stages(x)}
-        tokens = alnum_tokens(held["cleaned"])
-        held |= {"tokens": tokens, "char_ngrams": char_ngrams(F.array_join(tokens, ""), 3), "token_count": F.size(tokens)}
+    for c, names in planned.items():
+        tokens = alnum_tokens(f"{c}__cleaned")
+        held = {"tokens": tokens, "char_ngrams": char_ngrams(F.array_join(tokens, ""), 3), "token_count": F.size(tokens)}
         kind = classify_column(c)
         if kind == "name":
-            held |= name_representations(x, rules.get("abbreviations"), rules.get("suffixes"))
+            held |= name_representations(text(c), rules.get("abbreviations"), rules.get("suffixes"))
         elif kind == "address":
-            held |= address_representations(x, tuple(rules.get("address", ())))
+            held |= address_representations(text(c), tuple(rules.get("address", ())))
         elif kind == "country":
-            held |= country_representations(x)
+            held |= country_representations(text(c))
         elif kind == "identifier":
-            held |= identifier_representations(x)
-        out |= {f"{c}__{n}": held[n] for n in names}
+            held |= identifier_representations(text(c))
+        out |= {f"{c}__{n}": held[n] for n in names if n in held}
     return df.withColumns(out)
 
 

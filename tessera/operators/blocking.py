@@ -237,19 +237,25 @@ def roster(anchors: DataFrame, pairs: DataFrame) -> DataFrame:
     return anchors.select(F.col("entity_id").alias(ANCHOR)).join(lists, ANCHOR, "left").withColumn("candidate_entity_ids", F.coalesce("candidate_entity_ids", F.lit("")))
 
 
+def missed_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
+    """True pairs that no strategy found."""
+    return truth.join(pairs.select(ANCHOR, CANDIDATE), [ANCHOR, CANDIDATE], "left_anti")
+
+
 def recall_report(anchors: DataFrame, pairs: DataFrame, truth: DataFrame) -> DataFrame:
     """One row: pair recall by source, entity coverage and the candidate-count distribution.
     Ratios over nothing are 1."""
+    from tessera.operators.evaluation import quantiles
+
     hit = truth.join(pairs.select(ANCHOR, CANDIDATE).distinct().withColumn("hit", F.lit(1)), [ANCHOR, CANDIDATE], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
     source = F.split_part(F.col(CANDIDATE), F.lit("-"), F.lit(1))
     share = lambda cond: F.coalesce(F.avg(F.when(cond, F.col("hit"))), F.lit(1.0))
     recall = hit.agg(F.count("*").alias("true_pairs"), F.sum("hit").alias("found_pairs"), share(F.lit(True)).alias("recall"), share(source == "S2").alias("recall_s2"), share(source == "S3").alias("recall_s3"))
     covered = hit.groupBy(ANCHOR).agg(F.min("hit").alias("all"), F.max("hit").alias("any")).agg(F.count("*").alias("matched_anchors"), F.coalesce(F.avg("all"), F.lit(1.0)).alias("full_coverage"), F.coalesce(F.avg("any"), F.lit(1.0)).alias("any_coverage"))
     n = anchors.select(F.col("entity_id").alias(ANCHOR)).join(pairs.groupBy(ANCHOR).agg(F.count("*").alias("n")), ANCHOR, "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("double"))
-    pct = lambda q: F.percentile("n", F.lit(q))
     between = lambda a, b: F.avg(F.when((F.col("n") >= a) & (F.col("n") <= b), 1.0).otherwise(0.0))
-    counts = n.agg(F.count("*").alias("anchors"), F.avg("n").alias("mean_candidates"), pct(0.5).alias("median"), pct(0.9).alias("p90"), pct(0.95).alias("p95"), pct(0.99).alias("p99"), F.max("n").alias("most"), between(0, 0).alias("share_0"), between(1, 10).alias("share_1_10"), between(11, 50).alias("share_11_50"), between(51, 1e18).alias("share_over_50"))
-    return recall.crossJoin(covered).crossJoin(counts)  # one row each
+    counts = n.agg(F.count("*").alias("anchors"), F.avg("n").alias("mean_candidates"), F.max("n").alias("most"), between(0, 0).alias("share_0"), between(1, 10).alias("share_1_10"), between(11, 20).alias("share_11_20"), between(21, 50).alias("share_21_50"), between(51, 100).alias("share_51_100"), between(101, 1e18).alias("share_over_100"))
+    return recall.crossJoin(covered).crossJoin(counts).crossJoin(quantiles(n, "n", {"median": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}))  # one row each
 
 
 def recall_by_strategy(pairs: DataFrame, truth: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.functions import similarity as S
@@ -14,7 +12,9 @@ from tessera.operators.blocking import ANCHOR, CANDIDATE
 PATTERNS = {
     "ampersand": r"&", "word_and": r"\band\b", "period": r"\.", "comma": r",", "hyphen": r"-", "slash": r"/", "apostrophe": r"'", "parenthesis": r"[()]", "hash": r"#", "ampersand_word": r"\bW\b",
     "dba": r"\bd\.?b\.?a\.?\b", "underscore": r"_", "percent": r"%", "at_sign": r"@", "double_space": r"  ", "leading_space": r"^ ", "trailing_space": r" $", "non_ascii": r"[^\x00-\x7f]",
-    "control_character": r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "has_digit": r"[0-9]", "digit_run_6_plus": r"[0-9]{6,}", "newline": r"[\r\n]", "tab_inside_value": r"\t",
+    "control_character": r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}]", "zero_width": r"[\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{2064}\x{feff}]", "has_digit": r"[0-9]", "digit_run_6_plus": r"[0-9]{6,}", "newline": r"[\r\n]", "tab_inside_value": r"\t",
+    "email_like": r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.]+", "phone_like": r"\+[0-9][0-9\s().-]{6,}[0-9]", "us_zip_like": r"\b[0-9]{5}(?:-[0-9]{4})?\b", "numeric_zip_like": r"\b[0-9]{6}\b",
+    "street_designator": r"\b(?:st|str|street|rd|road|ave|av|avenue|blvd|boulevard|dr|drive|ln|lane|ct|court|cir|circle|pl|place|pkwy|parkway|hwy|highway|aly|alley|ter|terrace|trl|trail|way|pkg|plz|plaza|square|sq|gt|ground|nr|number|sec|section)\b\.?",
     "unit_marker": r"\b(?:apt|apartment|suite|ste|unit|flat|rm|room|fl|floor|flr|bldg|building|shop|office|opp|opposite|near|behind|beside|next)\b\.?",
     "direction": r"\b(?:north|south|east|west|ne|nw|se|sw|n|s|e|w)\b\.?",
 }
@@ -60,6 +60,12 @@ def pattern_counts(df: DataFrame, column: str, patterns: dict[str, str] | None =
     return row.select(F.explode(F.array(*[F.struct(F.lit(k).alias("pattern"), F.col(k).alias("n")) for k in patterns])).alias("x")).select("x.*")
 
 
+def repeated_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """One row: rows, and rows that repeat an earlier one (in all columns or those named)."""
+    by = list(columns) or df.columns
+    return df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated"))
+
+
 def case_profile(df: DataFrame, column: str) -> DataFrame:
     x = F.col(column)
     count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
@@ -186,14 +192,136 @@ def normalization_diagnostics(df: DataFrame, raw: str, normalized: str) -> DataF
     return by.agg(F.sum("n").alias("rows"), F.sum("changed").alias("changed"), F.coalesce(F.sum(F.when(F.col("norm") == "", F.col("n"))), F.lit(0)).alias("emptied"), F.count("*").alias("distinct_values"), F.sum((F.col("n") > 1).cast("long")).alias("collisions"), F.sum((F.col("raws") > 1).cast("long")).alias("merged_values"))
 
 
+def normalization_report(df: DataFrame, raw: str, normalized: str, least_share: float = 0.4) -> DataFrame:
+    """A normalisation in one row: rows, non-empty, changed, emptied and over-shortened values,
+    lengths and words, distinct values before and after, collisions."""
+    r, x = F.coalesce(F.col(raw), F.lit("")), F.coalesce(F.col(normalized), F.lit(""))
+    held = F.trim(r) != ""
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    words = F.size(F.filter(F.split(x, r"\s+"), lambda w: w != ""))
+    shape = df.agg(
+        F.count("*").alias("rows"), count(held).alias("raw_non_empty"), count(held & (r != x)).alias("changed"), count(held & (F.trim(x) == "")).alias("emptied"), count(held & (F.length(x) < F.length(r) * least_share)).alias("over_normalized"),
+        F.avg(F.when(held, F.length(r))).alias("mean_raw_length"), F.avg(F.when(held, F.length(x))).alias("mean_normalized_length"), F.avg(words).alias("mean_words"), F.coalesce(F.max(words), F.lit(0)).alias("most_words"), F.coalesce(F.min(words), F.lit(0)).alias("least_words"),
+    )
+    values = df.filter(held).groupBy(x.alias("x")).agg(F.count("*").alias("n"))
+    after = values.agg(F.count("*").alias("normalized_distinct"), F.coalesce(F.sum((F.col("n") > 1).cast("long")), F.lit(0)).alias("collision_groups"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("collision_values"))
+    before = df.filter(held).agg(F.countDistinct(r).alias("raw_distinct"))
+    share = lambda a, b: F.when(F.col(b) > 0, 100 * F.col(a) / F.col(b)).otherwise(0.0)
+    return shape.crossJoin(before).crossJoin(after).withColumn("changed_percent", share("changed", "raw_non_empty")).withColumn("emptied_percent", share("emptied", "raw_non_empty"))  # one row each
+
+
+def normalization_examples(df: DataFrame, raw: str, normalized: str, k: int = 8) -> DataFrame:
+    """The first changed values by their text: (raw, normalized)."""
+    return df.filter(F.col(raw) != F.coalesce(normalized, F.lit(""))).select(F.col(raw).alias("raw"), F.col(normalized).alias("normalized")).distinct().orderBy("raw", "normalized").limit(k)
+
+
+def collision_examples(df: DataFrame, raw: str, normalized: str, k: int = 5) -> DataFrame:
+    """Normalised values that stand for most raw values, with how many."""
+    held = df.filter((F.col(normalized) != "") & F.col(raw).isNotNull()).groupBy(F.col(normalized).alias("normalized")).agg(F.countDistinct(raw).alias("raws"))
+    return held.filter("raws > 1").orderBy(F.desc("raws"), "normalized").limit(k)
+
+
+def summarize(reports: DataFrame) -> DataFrame:
+    """Reports of several columns rolled up into one row."""
+    total = reports.agg(F.count("*").alias("fields"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "raw_non_empty", "changed", "emptied", "collision_groups", "over_normalized")])
+    share = lambda a: F.when(F.col("raw_non_empty") > 0, F.round(100 * F.col(a) / F.col("raw_non_empty"), 4)).otherwise(0.0)
+    return total.withColumn("changed_percent", share("changed")).withColumn("emptied_percent", share("emptied"))
+
+
+# Legal forms, address words and street words that the quick profile counts.
+QUICK_LEGAL = ("LLC", "Inc", "Corp", "Ltd", "LLP", "LP", "PC", "PLLC", "Private Limited", "Pvt Ltd")
+QUICK_ADDRESS = ("Apt", "Apartment", "Suite", "Unit", "Floor")
+QUICK_STREETS = ("St", "Street", "Ave", "Avenue", "Rd", "Road", "Blvd", "Drive")
+
+
+def quick_noise(records: DataFrame) -> DataFrame:
+    """Noise flags of names and addresses by source: rows (source, flag, n), one pass."""
+    n, a = F.col("business_name"), F.col("business_address")
+    word = lambda x, w: x.rlike(f"(?i)(?<![\\p{{L}}\\p{{N}}_]){w}(?![\\p{{L}}\\p{{N}}_])")
+    title = n == F.initcap(n)
+    flags = {f"name_{k}": n.rlike(PATTERNS[v]) for k, v in (("ampersand", "ampersand"), ("period", "period"), ("comma", "comma"), ("hyphen", "hyphen"), ("digits", "has_digit"), ("parentheses", "parenthesis"), ("apostrophe", "apostrophe"), ("double_space", "double_space"), ("leading_space", "leading_space"), ("trailing_space", "trailing_space"), ("tab", "tab_inside_value"), ("non_ascii", "non_ascii"))}
+    flags |= {"name_and": word(n, "and"), "name_all_upper": n == F.upper(n), "name_all_lower": n == F.lower(n), "name_title_case": title, "name_mixed_case": (n != F.upper(n)) & (n != F.lower(n)) & ~title}
+    flags |= {f"legal_{w.lower().replace(' ', '_')}": word(n, w) for w in QUICK_LEGAL}
+    flags |= {"address_hash": a.contains("#"), "address_comma": a.contains(","), "address_semicolon": a.contains(";"), "address_non_ascii": a.rlike(PATTERNS["non_ascii"])}
+    flags |= {f"address_{w.lower()}": word(a, w) for w in QUICK_ADDRESS} | {f"street_{w.lower()}": word(a, w) for w in QUICK_STREETS}
+    row = records.groupBy(F.split_part("entity_id", F.lit("-"), F.lit(1)).alias("source")).agg(*[F.coalesce(F.sum(v.cast("long")), F.lit(0)).alias(k) for k, v in flags.items()])
+    return row.select("source", F.explode(F.array(*[F.struct(F.lit(k).alias("flag"), F.col(k).alias("n")) for k in flags])).alias("x")).select("source", "x.*")
+
+
+def quick_sources(records: DataFrame) -> DataFrame:
+    """Rows, distinct ids, missing values and repeated rows of each source."""
+    held = records.withColumn("source", F.split_part("entity_id", F.lit("-"), F.lit(1)))
+    miss = lambda c: F.sum(F.col(c).isNull().cast("long")).alias(f"null_{c}")
+    rows = held.groupBy("source").agg(F.count("*").alias("rows"), F.countDistinct("entity_id").alias("unique_ids"), miss("business_name"), miss("business_address"), miss("country"))
+    again = held.groupBy(*held.columns).agg(F.count("*").alias("n")).groupBy("source").agg(F.sum(F.col("n") - 1).alias("repeated_rows"))
+    return rows.join(again, "source")
+
+
+def quick_overlaps(records: DataFrame) -> DataFrame:
+    """Shared names, names with addresses, names with countries and ids of every two sources."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    keys = {"name": F.col("business_name"), "name_address": F.concat_ws("|", text("business_name"), text("business_address")), "name_country": F.concat_ws("|", text("business_name"), text("country")), "id_number": F.split_part("entity_id", F.lit("-"), F.lit(2))}
+    out = None
+    for name, key in keys.items():
+        one = key_overlap(records, key).select(F.lit(name).alias("key"), "source_a", "source_b", "shared_keys")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def leakage(train: DataFrame, test: DataFrame) -> DataFrame:
+    """How many of the test split's ids each source of the training split holds."""
+    named = lambda df, side: df.select(F.split_part("entity_id", F.lit("-"), F.lit(1)).alias(side), F.split_part("entity_id", F.lit("-"), F.lit(2)).alias("number")).distinct()
+    return named(test, "test").join(named(train, "train"), "number").groupBy("test", "train").agg(F.count("*").alias("shared_ids"))
+
+
+def country_universe(records: DataFrame) -> DataFrame:
+    return records.filter("country is not null").groupBy("country").agg(F.count("*").alias("rows"))
+
+
+def linked_sample(truth: DataFrame, n: int) -> DataFrame:
+    """Of the first n anchors with matches (by id), the first match of each source: edges."""
+    ids = F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
+    some = truth.select(ANCHOR, ids.alias("ids")).filter(F.size("ids") > 0).orderBy(ANCHOR).limit(n)
+    edges = some.select(ANCHOR, F.posexplode("ids").alias("at", CANDIDATE)).withColumn("source", F.split_part(F.col(CANDIDATE), F.lit("-"), F.lit(1)))
+    return edges.groupBy(ANCHOR, "source").agg(F.min_by(CANDIDATE, "at").alias(CANDIDATE)).select(ANCHOR, CANDIDATE)
+
+
+def candidates_per_anchor(pairs: DataFrame) -> DataFrame:
+    """One row: mean, quantiles and range of the number of candidates of an anchor."""
+    from tessera.operators.evaluation import quantiles
+
+    n = pairs.groupBy(ANCHOR).agg(F.count("*").alias("n"))
+    return n.agg(F.count("*").alias("anchors"), F.avg("n").alias("mean"), F.min("n").alias("least"), F.max("n").alias("most")).crossJoin(quantiles(n, "n", {"median": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}))  # one row each
+
+
+def derive_markers(df: DataFrame, column: str, words: tuple[str, ...], support: int = 100) -> DataFrame:
+    """Listed words (units, directions) that occur as tokens with enough support."""
+    t = F.regexp_extract_all(F.lower(column), F.lit("([a-z0-9]+)"), 1)
+    return df.select(F.explode(F.array_distinct(t)).alias("token")).filter(F.col("token").isin(*words)).groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= support)
+
+
+# Texts that stand for a missing value.
+MISSING = ("none", "nan", "null", "n/a", "na", "-", "--", "unknown", "not available")
+
+
+def derive_missing(df: DataFrame, column: str) -> DataFrame:
+    """Whole values that stand for a missing one, with how often they occur."""
+    x = F.lower(F.trim(F.col(column)))
+    return df.filter(x.isin(*MISSING)).groupBy(x.alias("value")).agg(F.count("*").alias("n"))
+
+
 # ---- features ----
 
 
 def feature_quality(features: DataFrame, columns: list[str]) -> DataFrame:
-    """Missing share, range, moments and distinct values of each feature."""
+    """Missing share, range, moments, median and distinct values of each feature."""
+    from tessera.operators.evaluation import quantiles
+
     x = features.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.*")
     v = F.col("v")
-    return x.groupBy("feature").agg(F.count("*").alias("rows"), F.avg(v.isNull().cast("double")).alias("missing"), F.min(v).alias("least"), F.max(v).alias("most"), F.avg(v).alias("mean"), F.percentile(v, F.lit(0.5)).alias("median"), F.stddev_pop(v).alias("std"), F.countDistinct(v).alias("distinct_values")).withColumn("constant", F.col("distinct_values") <= 1)
+    counts = x.groupBy("feature", "v").agg(F.count("*").alias("n")).groupBy("feature").agg(F.count("v").alias("distinct_values"))
+    out = x.groupBy("feature").agg(F.count("*").alias("rows"), F.avg(v.isNull().cast("double")).alias("missing"), F.min(v).alias("least"), F.max(v).alias("most"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
+    return out.join(quantiles(x, "v", {"median": 0.5}, "feature"), "feature", "left").join(counts, "feature").withColumn("constant", F.col("distinct_values") <= 1)
 
 
 def feature_redundancy(features: DataFrame, columns: list[str], least: float = 0.95) -> DataFrame:
@@ -225,7 +353,3 @@ def feature_separation(features: DataFrame, columns: list[str], label: str = "la
 def class_distribution(pairs: DataFrame, label: str = "label") -> DataFrame:
     groups = F.explode(F.array(F.lit("all"), F.col("candidate_source")))
     return pairs.select(groups.alias("part"), label).groupBy("part").agg(F.count("*").alias("pairs"), F.sum(label).alias("positives"), F.avg(F.col(label).cast("double")).alias("share"))
-
-
-def unions(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

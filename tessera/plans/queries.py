@@ -106,11 +106,6 @@ def norm_control_strip(s, d):
     return V.table(s, d, "pages").select("page_id", X.strip_control("html").alias("stripped"))
 
 
-@query()
-def norm_nfkc_casefold(s, d):
-    return V.table(s, d, "documents").select("doc_id", X.casefold("text").alias("folded"), X.punctuation_policy(X.casefold("text")).alias("plain"))
-
-
 @query(f"WITH {V.ER}, t AS (SELECT entity_id, regexp_extract_all(replace({V.sql_cleaned('business_name')}, '&', ' and '), '[\\p{{L}}\\p{{N}}]+') AS tok FROM er) SELECT entity_id, array_to_string(tok, ' ') AS name, array_to_string(list_filter(tok, lambda x: x NOT IN ({V._LEGAL})), ' ') AS name_core, array_to_string(list_sort(tok), ' ') AS name_sorted, len(tok) AS n_tokens FROM t")
 def norm_name_repr(s, d):
     n = X.name_representations("business_name", suffixes=M.SUFFIXES)
@@ -283,7 +278,7 @@ _FOUND = f"WITH {V.PAIRS}, {V.TRUTH}, hit AS (SELECT t.*, (p.source1_entity_id I
 @query(f"""{_FOUND}, cov AS (SELECT source1_entity_id, min(hit) AS a, max(hit) AS b FROM hit GROUP BY 1), n AS (SELECT coalesce(c, 0)::DOUBLE AS n FROM er LEFT JOIN (SELECT source1_entity_id, count(*) AS c FROM pairs GROUP BY 1) ON source1_entity_id = entity_id WHERE entity_id LIKE 'S1-%')
 SELECT * FROM (SELECT count(*) AS true_pairs, sum(hit)::BIGINT AS found_pairs, {r6("coalesce(avg(hit), 1) AS recall", "coalesce(avg(hit) FILTER (candidate_entity_id LIKE 'S2-%'), 1) AS recall_s2", "coalesce(avg(hit) FILTER (candidate_entity_id LIKE 'S3-%'), 1) AS recall_s3")} FROM hit),
  (SELECT count(*) AS matched_anchors, {r6("coalesce(avg(a), 1) AS full_coverage", "coalesce(avg(b), 1) AS any_coverage")} FROM cov),
- (SELECT count(*) AS anchors, {r6("avg(n) AS mean_candidates", "quantile_cont(n, 0.5) AS median", "quantile_cont(n, 0.9) AS p90", "quantile_cont(n, 0.95) AS p95", "quantile_cont(n, 0.99) AS p99", "max(n) AS most", "avg((n = 0)::INT) AS share_0", "avg((n BETWEEN 1 AND 10)::INT) AS share_1_10", "avg((n BETWEEN 11 AND 50)::INT) AS share_11_50", "avg((n > 50)::INT) AS share_over_50")} FROM n)""")
+ (SELECT count(*) AS anchors, {r6("avg(n) AS mean_candidates", "quantile_cont(n, 0.5) AS median", "quantile_cont(n, 0.9) AS p90", "quantile_cont(n, 0.95) AS p95", "quantile_cont(n, 0.99) AS p99", "max(n) AS most", "avg((n = 0)::INT) AS share_0", "avg((n BETWEEN 1 AND 10)::INT) AS share_1_10", "avg((n BETWEEN 11 AND 20)::INT) AS share_11_20", "avg((n BETWEEN 21 AND 50)::INT) AS share_21_50", "avg((n BETWEEN 51 AND 100)::INT) AS share_51_100", "avg((n > 100)::INT) AS share_over_100")} FROM n)""")
 def recall_report(s, d):
     return rounded(B.recall_report(V.sides(s, d)[0], V.key_pairs(s, d), V.truth(s, d)))
 
@@ -368,9 +363,9 @@ def _labelled(s, d):
 _LABELLED = f"{_RANKED}, {V.TRUTH}, lp AS (SELECT rk.*, (t.source1_entity_id IS NOT NULL)::INT AS label FROM rk LEFT JOIN truth t USING (source1_entity_id, candidate_entity_id))"
 
 
-@query(f"WITH {_LABELLED}, tt AS (SELECT count(*) AS total FROM truth) SELECT k, (SELECT count(*) FROM lp WHERE baseline_rank <= k AND label = 1) AS found, round((SELECT count(*) FROM lp WHERE baseline_rank <= k AND label = 1)::DOUBLE / total, 6) AS recall FROM (SELECT unnest([1, 3, 5, 10]) AS k), tt")
+@query(f"WITH {_LABELLED}, ks AS (SELECT unnest([1, 3, 5, 10]) AS k), tp AS (SELECT unnest(['all', split_part(candidate_entity_id, '-', 1)]) AS part FROM truth), tt AS (SELECT part, count(*) AS total FROM tp GROUP BY 1), hp AS (SELECT unnest(['all', split_part(candidate_entity_id, '-', 1)]) AS part, baseline_rank AS r FROM lp WHERE label = 1) SELECT part, k, (SELECT count(*) FROM hp WHERE hp.part = tt.part AND r <= k) AS found, round((SELECT count(*) FROM hp WHERE hp.part = tt.part AND r <= k)::DOUBLE / total, 6) AS recall FROM tt, ks")
 def baseline_topk_recall(s, d):
-    return rounded(E.topk_recall(_labelled(s, d), V.truth(s, d).agg(F.count("*").alias("total"))))
+    return rounded(E.topk_recall(_labelled(s, d), V.truth(s, d)))
 
 
 def _sweep_sql(source: str, thresholds) -> str:
@@ -896,3 +891,6 @@ def rules_designators(s, d):
 def norm_diagnostics(s, d):
     r = B.with_country(V.records(s, d)).withColumn("norm", B.sorted_name_key(F.col("business_name")))
     return P.normalization_diagnostics(r, "business_name", "norm").withColumnRenamed("rows", "n_rows")
+
+
+from tessera.plans import more  # noqa: E402, F401  registers the rest

@@ -22,11 +22,15 @@ HEAD = r"^(?:[^a-z0-9]*[a-z0-9]+){0,16}"
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records_of(table(spark, sf_dir, "documents"))
+
+
+def records_of(documents: DataFrame) -> DataFrame:
     """Documents as source records: a third of the ids each for S1, S2 and S3.  A name is made
     of a text's first six words, an address of the next ten; some names are in capitals, some
     have a legal form, some letters beyond ASCII, and some outer space."""
     t = F.regexp_extract_all(F.regexp_extract(F.lower("text"), HEAD, 0), F.lit("([a-z0-9]+)"), 1)
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", t.alias("t"))
+    d = documents.select("doc_id", "lang", t.alias("t"))
     i = F.col("doc_id")
     words = F.array_join(F.slice("t", 1, 6), " ")
     name = F.when(i % 4 == 0, F.upper(words)).when(i % 5 == 1, F.concat(words, F.lit(" Ltd."))).when(i % 7 == 2, F.concat(F.lit(" Caf\u00e9 "), words)).otherwise(words)
@@ -42,14 +46,17 @@ def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return r.filter(F.col("entity_id").startswith("S1-")), r.filter(~F.col("entity_id").startswith("S1-"))
 
 
-def key_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pairs_of(anchors: DataFrame, candidates: DataFrame) -> DataFrame:
     """Union of exact keys and name tokens with provenance."""
-    a, c = sides(spark, sf_dir)
-    exact = B.key_join(B.exact_keys(a), B.exact_keys(c), MOST_BLOCK)
-    token = B.top_by_hits(B.key_join(B.name_token_keys(a), B.name_token_keys(c), MOST_TOKEN), 50)
+    exact = B.key_join(B.exact_keys(anchors), B.exact_keys(candidates), MOST_BLOCK)
+    token = B.top_by_hits(B.key_join(B.name_token_keys(anchors), B.name_token_keys(candidates), MOST_TOKEN), 50)
     return B.union_pairs(exact, token, cap=100)
 
 
+def key_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs_of(*sides(spark, sf_dir))
+
+
 def record_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, c = sides(spark, sf_dir)
     return M.with_records(key_pairs(spark, sf_dir), M.profile(a), M.profile(c))

@@ -7,6 +7,8 @@ repeated batch replaces itself.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -14,6 +16,16 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 RECORD = T.StructType([T.StructField(c, T.StringType()) for c in ("entity_id", "business_name", "business_address", "country")])
 
 
+def work_dir(spark: SparkSession) -> str:
+    """A new folder for a stream's output: below spark.checkpoint.dir, or where that is unset
+    and everything is one machine, a temporary one."""
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not found and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{found.rstrip('/')}/tessera-stream-{uuid.uuid4().hex}" if found else "file://" + tempfile.mkdtemp(prefix="tessera-stream-")
+
+
 def anchor_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
     return spark.readStream.schema(RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 

@@ -35,7 +35,7 @@ def test_structured(spark, a, b, expected):
 
 
 def test_normalisation(spark):
-    assert one(spark, X.casefold("a"), a="Ａｂｃ ß") == "abc ss"
+    assert one(spark, X.casefold(X.unicode_form("a")), a="Ａｂｃ ß") == "abc ss"
     assert one(spark, X.stages("a")["unicode"], a="café") == "café"
     assert one(spark, X.collapse_whitespace(F.lower("a")), a="  HELLO   \t WORLD \n ") == "hello world"
     assert one(spark, X.cleaned("a"), a=None) is None
@@ -59,3 +59,67 @@ def test_names_and_addresses(spark):
 @pytest.mark.parametrize("name, kind", [("country", "country"), ("ship_country", "country"), ("business_address", "address"), ("business_name", "name"), ("entity_id", "identifier"), ("size", "generic")])
 def test_column_kinds(name, kind):
     assert X.classify_column(name) == kind
+
+
+def test_case_folding_of_all_letters(spark):
+    """Against Python's full case folding, for every letter that folds to one, and those that
+    are listed; but for the Cherokee ones, whose small forms Unicode folds to capitals."""
+    letters = [c for c in map(chr, range(0x20, 0x2FFFF)) if c.isalpha() and not 0x13A0 <= ord(c) <= 0x13FF and not 0xAB70 <= ord(c) <= 0xABBF and (len(c.casefold()) == 1 or c in X.SPELLED_OUT)]
+    rows = spark.createDataFrame([(c,) for c in letters], "a string").select("a", X.casefold("a").alias("x")).collect()
+    wrong = [hex(ord(r.a)) for r in rows if r.x != r.a.casefold()]
+    assert len(wrong) <= 20, wrong  # letters newer than the JVM's tables
+
+
+@pytest.mark.parametrize("form", X.FORMS)
+def test_unicode_forms(spark, form):
+    import unicodedata
+
+    for text in ("plain", "e\u0301 \u00e9 \ufb01 \u2460", "\uac00\u1112\u1161\u11ab"):
+        assert one(spark, X.unicode_form("a", form), a=text) == unicodedata.normalize(form, text)
+
+
+def plain_winkler(a, b):
+    """Jaro-Winkler, letter by letter."""
+    if a == b:
+        return 1.0
+    reach, free, left = max(max(len(a), len(b)) // 2 - 1, 0), list(b), []
+    for i, c in enumerate(a):
+        j = next((j for j in range(max(0, i - reach), min(len(b), i + reach + 1)) if free[j] == c), None)
+        if j is not None:
+            left.append(c)
+            free[j] = None
+    right = [c for c, f in zip(b, free) if f is None]
+    m = len(left)
+    if not m:
+        return 0.0
+    jaro = (m / len(a) + m / len(b) + (m - sum(x != y for x, y in zip(left, right)) // 2) / m) / 3
+    same = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4])) if x != y), min(4, len(a), len(b)))
+    return jaro + 0.1 * same * (1 - jaro) if jaro > 0.7 else jaro
+
+
+def test_jaro_winkler_against_letter_by_letter():
+    import random
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcé 漢", k=rng.randint(1, 14))) for _ in range(300)]
+    left, right = rng.choices(words, k=2000), rng.choices(words, k=2000)
+    assert S.jaro_winkler_values(left, right).tolist() == pytest.approx([plain_winkler(a, b) for a, b in zip(left, right)])
+
+
+@pytest.mark.parametrize("a, b", [("ABC ", "abc"), (" Straße", "STRASSE"), ("ÉCLAIR", " éclair "), ("ΣΑΣ", "σας")])
+def test_case_and_outer_space_do_not_count(spark, a, b):
+    for f in (S.exact, S.token_jaccard, S.token_overlap, S.char_ngram_jaccard, S.levenshtein_similarity, S.jaro_winkler, S.prefix_ratio, S.suffix_ratio, S.bigram_dice):
+        assert one(spark, f("a", "b"), a=a, b=b) == 1.0, f.__name__
+
+
+def test_stages_that_change(spark):
+    assert one(spark, X.changed_at("a", "folded"), a="Abc") is True and one(spark, X.changed_at("a", "folded"), a="abc") is False
+    with pytest.raises(KeyError):
+        X.changed_at("a", "none")
+
+
+def test_representations_keep_the_raw_columns(spark):
+    df = spark.createDataFrame([("S1-7", "Löwe & Co", "9 Main St, Apt 4, 60016", None)], "entity_id string, business_name string, business_address string, country string")
+    r = X.representations(df, rules={"suffixes": {"co": "co"}}).first()
+    assert r.business_name == "Löwe & Co" and r.business_name__name_core == "löwe and" and r.business_address__address_unit == "4"
+    assert r.entity_id__id_body == "7" and r.country__country is None and list(X.plan(["size"])["size"])[:2] == ["raw", "unicode"]
