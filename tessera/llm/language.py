@@ -20,7 +20,6 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import re
-import sys
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +36,17 @@ PENALTY = 8.0
 MERGE_PARTS = 48
 #: Words that a worker remembers.
 REMEMBERED = 250_000
-#: Runs of letters; signs of number (superscripts, fractions, numerals) are none.
-WORD = re.compile(r"[^\W\d_" + "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]+")
+#: Runs of letters and of signs of number (superscripts, fractions, numerals).
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def words_in(text: str) -> list[str]:
+    """Lower-cased runs of letters; signs of number are none."""
+    found = LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
+
 
 # First code points of script ranges (Unicode blocks), in order.
 SCRIPT_STARTS = np.array([0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0x980, 0xE00, 0xE80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x30A0, 0x3100, 0x3400, 0xAC00, 0xD7B0, 0xF900, 0xFB00])
@@ -69,7 +77,7 @@ def gram_count_rows(batches):
     scripts: dict[str, np.ndarray] = {}
     for batch in batches:
         for lang, text in zip(common.strings(batch, "lang"), common.strings(batch)):
-            words = WORD.findall(text.lower())
+            words = words_in(text)
             if not words:
                 continue
             grams, inside, _, lengths, script = word_arrays(words)
@@ -186,7 +194,7 @@ def label_rows(model: dict | None, penalty: float, spans: bool, carried: list[st
         for batch in batches:
             texts = common.strings(batch)
             langs, scores, found = [], [], []
-            split = [WORD.findall(t.lower()) for t in texts] if model else [[] for _ in texts]
+            split = [words_in(t) for t in texts] if model else [[] for _ in texts]
             at = known.rows([w for words in split for w in words]) if model else None
             a = 0
             for words in split:
