@@ -10,8 +10,9 @@ is left.  k starts at the least number that could hold the group and rises whene
 window exceeds its capacity.  Groups fill independently, so the plan scales out and a lost
 executor costs one group.
 
-Edge cases: a null or empty text is the end id alone, repeated rows are packed once per
-row, an empty table gives an empty result, extra columns are not read.
+Edge cases: a null or empty text is the end id alone; a very long text becomes full windows
+and a rest; equal sizes are dealt in the order of their rows; repeated rows are packed once
+per row; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
