@@ -83,6 +83,22 @@ def fold(column: str = "doc_id", modulus: int = 5):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def released(run):
+    """A worker function that, once a task is done, gives freed memory back to the system:
+    Spark keeps idle workers, and what their tables held would count on top of the next
+    stage's."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        import ctypes
+
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def binary_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 of a text column; null is empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -112,7 +112,7 @@ def document_hits(screen, screen_bits: int, lengths: list[int], window: int, gra
                 hits.append(found)
             yield pa.RecordBatch.from_arrays([*common.keep(batch, id_name), pa.array(n_words, pa.int64()), pa.array(hits, hit_type)], names=[id_name, "n_words", "hits"])
 
-    return run
+    return common.released(run)
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:

@@ -126,7 +126,7 @@ def sketch_rows(k: int):
             small = np.minimum(counts, 255).astype(np.uint8).reshape(SKETCH_BLOCKS, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([b.tobytes() for b in small], pa.binary())], names=["block", "counts"])
 
-    return run
+    return common.released(run)
 
 
 def merge_counts(kind):
@@ -222,7 +222,7 @@ def key_rows(k: int, percent: int, common_bits, id_name: str):
                 names=[id_name, "n_shingles", "print", "keys", "met"],
             )
 
-    return run
+    return common.released(run)
 
 
 def set_rows(k: int, screen, screen_bits: int):
@@ -246,7 +246,7 @@ def set_rows(k: int, screen, screen_bits: int):
                 sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), pa.array(sets, pa.binary())], names=["print", "shingles"])
 
-    return run
+    return common.released(run)
 
 
 class SignatureTree:

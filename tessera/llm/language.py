@@ -223,7 +223,7 @@ def label_rows(model: dict | None, penalty: float, spans: bool, carried: list[st
                 names.append("spans")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return run
+    return common.released(run)
 
 
 def identified(docs: DataFrame, model: dict | None, penalty: float = PENALTY, spans: bool = True) -> DataFrame:

@@ -131,7 +131,7 @@ def token_pieces(tokenizer_file: str, window: int, end_id: int):
             doc_id = common.keep(batch, "doc_id")[0].take(pa.array(out[0], pa.int64()))
             yield pa.RecordBatch.from_arrays([doc_id, *(pa.array(x, pa.int64()) for x in out[1:])], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return run
+    return common.released(run)
 
 
 def differencing(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -191,7 +191,7 @@ def score_rows(model, carried: list[str]):
             s = sigmoid(model[0].score(x)) if model else np.full(len(texts), 0.5)
             yield pa.RecordBatch.from_arrays([*common.keep(batch, *carried), pa.array(s)], names=[*carried, "score"])
 
-    return run
+    return common.released(run)
 
 
 def scored(docs: DataFrame, model) -> DataFrame:
