@@ -7,6 +7,7 @@ import re
 from dataclasses import dataclass
 from pathlib import PurePosixPath
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Words in paths that tell splits and roles.
@@ -118,14 +119,25 @@ def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None, s
     return df.select(*columns) if columns else df
 
 
+def _in_file_order(df: DataFrame) -> DataFrame:
+    """The rows with their place, _at: file by path, block and row in it.  Spark deals large
+    files out first, so its row numbers alone follow no order of files; rows of no file have
+    nothing else."""
+    row = F.monotonically_increasing_id()
+    try:
+        return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), row.alias("row")).alias("_at"))
+    except AnalysisException:
+        return df.withColumn("_at", row)
+
+
 def leading(df: DataFrame, n: int) -> DataFrame:
     """The first n rows in file order."""
-    return df.withColumn("_at", F.monotonically_increasing_id()).orderBy("_at").limit(n).drop("_at")
+    return _in_file_order(df).orderBy("_at").limit(n).drop("_at")
 
 
 def needed(df: DataFrame, wanted: DataFrame, key: str = "entity_id") -> DataFrame:
     """Rows whose key is wanted; of rows with one key the last in file order."""
-    rows = df.join(wanted.select(key).distinct(), key, "left_semi").select(key, F.struct(F.monotonically_increasing_id().alias("_at"), *df.columns).alias("_row"))
+    rows = _in_file_order(df).join(wanted.select(key).distinct(), key, "left_semi").select(key, F.struct("_at", *df.columns).alias("_row"))
     return rows.groupBy(key).agg(F.max_by("_row", "_row._at").alias("_row")).select("_row.*").drop("_at").select(*df.columns)
 
 
