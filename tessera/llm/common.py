@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import uuid
@@ -69,6 +70,12 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files go when the driver forgets their job, not when it happens to collect."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Rows of a stored table of ids that may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 1_000_000
 

@@ -31,6 +31,7 @@ an empty result, and extra columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,9 @@ SCREEN_BITS = 16
 SCREEN_LEAST, SCREEN_MOST = 20, 27
 #: log2 of the places in which a task remembers part hashes.
 MET_BITS = 19
+#: Part hashes are written and dealt in so many turns, each a share of them, and their files go
+#: after each: they are several times the input together.
+TURNS = 3
 #: Documents and shingles of a cell, and of each side of a cell across chunks.
 CELL_DOCS, CELL_SHINGLES = 250, 500_000
 SIDE_DOCS, SIDE_SHINGLES = 1000, 1_000_000
@@ -182,9 +186,10 @@ def listed(values: np.ndarray, owners: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, pa.int64()))
 
 
-def key_rows(k: int, percent: int, common_bits, id_name: str):
+def key_rows(k: int, percent: int, common_bits, id_name: str, turn: int = 0, turns: int = 1):
     """Documents as (id, n_shingles, print, keys, met): keys only where a task first meets
-    both the set and the hash; met: prints of sets that share a hash met before."""
+    both the set and the hash; met: prints of sets that share a hash met before.  Of the
+    hashes, those that fall to ``turn``."""
 
     def run(batches):
         sizes, seen, met = SizeWindows(percent), set(), Met()
@@ -210,7 +215,8 @@ def key_rows(k: int, percent: int, common_bits, id_name: str):
                                 full_part = np.unique(((mixed(s ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32))
                                 none = np.setdiff1d(np.arange(parts, dtype=np.uint64), full_part)
                                 found.append(mixed(mixed(none + np.uint64(1)) ^ np.uint64(2 * w + 1)))
-                keys.append(np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64))
+                own = np.concatenate(found) if found else np.zeros(0, np.uint64)
+                keys.append(own[own % np.uint64(turns) == turn].astype(np.int64))
             if not keys:
                 continue
             owners = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
@@ -387,24 +393,26 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_name:
     sc = spark.sparkContext
     kind = docs.schema[id_name].dataType.simpleString()
     bits = sc.broadcast(common_shingles(docs, k))  # 2 ** SKETCH_BITS bits
-    # Parts' hashes are the bulk: they go once the families are written.  In the shuffle a
-    # document is its row number, whose high bytes repeat and compress away.
-    full = common.store(docs.select(id_name, "text").mapInArrow(key_rows(k, percent, bits, id_name), f"{id_name} {kind}, n_shingles long, print long, keys array<long>, met array<long>").withColumn("_row", F.monotonically_increasing_id()), "keys")
-    signed = common.store(full.drop("keys", "met"), "signed")
-    by_key = Window.partitionBy("key").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    keyed = full.select("_row", F.explode("keys").alias("key"))
-    shared = keyed.withColumn("hub", F.first("_row").over(by_key)).filter("hub <> _row").select("_row", "hub").distinct()
-    of = signed.select("_row", F.col("print").alias("a"))
-    shared = shared.join(of, "_row").join(of.select(F.col("_row").alias("hub"), F.col("a").alias("b")), "hub").select("a", "b")
-    shared = shared.union(full.select(F.col("print").alias("a"), F.explode("met").alias("b")))
-    family = common.store(common.components(shared, "families"), "family")
-    common.remove(full)
+    signed, shared = None, []
+    for turn in range(TURNS):
+        full = docs.select(id_name, "text").mapInArrow(key_rows(k, percent, bits, id_name, turn, TURNS), f"{id_name} {kind}, n_shingles long, print long, keys array<long>, met array<long>")
+        full = full if signed is None else full.drop(id_name, "n_shingles").filter("size(keys) + size(met) > 0")
+        full = common.store(full.withColumn("_row", F.monotonically_increasing_id()), "keys")
+        signed = signed or common.store(full.select(id_name, "n_shingles", "print"), "signed")
+        shared.append(common.store(_shared(full), "shared"))
+        common.remove(full)
+        common.free_shuffles(spark)
+    family = common.store(common.components(reduce(DataFrame.union, shared), "families"), "family")
+    for part in shared:
+        common.remove(part)
+    common.free_shuffles(spark)
     screen_bits = min(SCREEN_MOST, max(SCREEN_LEAST, (SCREEN_BITS * family.count()).bit_length()))
     slot = F.shiftrightunsigned("node", 64 - screen_bits)
     screen = sc.broadcast(common.bit_table(family.select(slot.alias("s")).distinct(), "s", screen_bits))  # 2 ** SCREEN_MOST bits at most
     sets = docs.select("text").mapInArrow(set_rows(k, screen, screen_bits), "print long, shingles binary")
     sets = sets.join(family.withColumnRenamed("node", "print"), "print").groupBy("print", "root").agg(F.first("shingles").alias("shingles"))
     sets = common.store(sets.withColumn("n", (F.octet_length("shingles") / 8).cast("long")), "sets")
+    common.free_shuffles(spark)
     sizes = common.store(sets.groupBy("root").agg(_pieces(CELL_DOCS, CELL_SHINGLES).alias("chunks"), _pieces(SIDE_DOCS, SIDE_SHINGLES).alias("sides"), F.count("*").alias("members")), "family-sizes")
     cut = sets.join(sizes, "root")
     chunk = F.pmod(F.xxhash64("print", F.lit(7)), "chunks")
@@ -414,14 +422,27 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_name:
     cells = cells.select("root", "cell", "print", F.col("print").alias("label"), F.lit(0).alias("side"), "shingles")
     links = cells.groupBy("root", "cell").applyInArrow(join_cell(percent), "a long, b long")
     links = common.store(links, "links")
+    common.free_shuffles(spark)
     labels = common.store(common.components(links, "linked"), "labels")
     if not sizes.filter("chunks > 1").isEmpty():
         links = links.union(_across_chunks(sets, sizes, labels, percent))
         labels = common.store(common.components(links, "linked"), "labels")
     common.remove(sets)
+    common.free_shuffles(spark)
     return _with_component(signed, labels, id_name)
 
 
+def _shared(full: DataFrame) -> DataFrame:
+    """Prints (a, b) of sets that share a part hash.  In the shuffle a document is its row
+    number, whose high bytes repeat and compress away."""
+    by_key = Window.partitionBy("key").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keyed = full.select("_row", F.explode("keys").alias("key"))
+    shared = keyed.withColumn("hub", F.first("_row").over(by_key)).filter("hub <> _row").select("_row", "hub").distinct()
+    of = full.select("_row", F.col("print").alias("a"))
+    shared = shared.join(of, "_row").join(of.select(F.col("_row").alias("hub"), F.col("a").alias("b")), "hub").select("a", "b")
+    return shared.union(full.select(F.col("print").alias("a"), F.explode("met").alias("b")))
+
+
 def _pieces(docs: int, shingles: int):
     """Pieces of a family with at most about so many documents and shingles."""
     return F.greatest(F.ceil(F.count("*") / docs), F.ceil(F.sum("n") / shingles)).cast("long")

@@ -35,7 +35,6 @@ they occur; a null id belongs to the fold of the empty text; extra columns are n
 from __future__ import annotations
 
 import functools
-import gc
 import mmap
 import os
 import urllib.parse
@@ -523,12 +522,6 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
     return [min(max(d, 0.01), i + 0.99) for i, d in enumerate(raw)]
 
 
-def _free_shuffles(spark) -> None:
-    """Shuffle files go when the driver forgets their job, not when it happens to collect."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def train(texts: DataFrame) -> dict:
     """Count ``texts`` and write the model; returns its folder, manifest and constants."""
     spark = texts.sparkSession
@@ -551,9 +544,9 @@ def train(texts: DataFrame) -> dict:
 
     parts = []
     for turn in range(PASSES):
-        _free_shuffles(spark)
+        common.free_shuffles(spark)
         parts.append(common.store(texts.mapInArrow(count_trigrams(shards, turn), TRIGRAM_BLOBS).groupBy("shard").applyInArrow(merge_trigrams(uri, shards), NUMBERS), "counts"))
-    _free_shuffles(spark)
+    common.free_shuffles(spark)
     trigrams = functools.reduce(DataFrame.unionByName, parts)
     split = common.store(trigrams.filter(F.col("kind") == PAIR).groupBy("shard").applyInArrow(merge_pairs(uri, shards), NUMBERS), "pairs")
     left = trigrams.filter(F.col("kind") != PAIR).unionByName(split)
@@ -571,7 +564,7 @@ def train(texts: DataFrame) -> dict:
             files["trigrams" if r.kind == SUMS3 else "pairs"][x[4]] = x[5]
     for part in (*parts, split):
         common.remove(part)
-    _free_shuffles(spark)
+    common.free_shuffles(spark)
 
     model = {"uri": uri, "shards": n, "parts": shards.parts, "files": files, "tokens": total, "vocabulary": vocabulary, "pairs": 0, "rest": 1.0, "d1": [0.0] * 3, "d2": [0.0] * 3, "d3": [0.0] * 3}
     if total:
