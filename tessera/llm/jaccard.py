@@ -10,8 +10,10 @@
    pair is missed.
 3. Documents that share a part hash form families (connected components).  A task links a
    document at once to one it has met with the same part hash and passes that hash on only
-   once, so a hash that many documents share costs about a row a task.  Only families meet
-   in cells, each set travelling once.  A family beyond a cell's bound is split into cells
+   once, so a hash that many documents share costs a few rows a task.  Unrelated documents
+   share a part by chance, the more of them the larger the table, so an edge must also pass a
+   test of parity sketches, which never fails for linked sets (``distance``); without it most
+   documents of a large table become one family.  Only families meet in cells, each set travelling once.  A family beyond a cell's bound is split into cells
    that all hold the same few members; what the cells leave apart from the family's largest
    component is then joined with every member of another component.
 4. In a cell, a signature tree holds OR-combined shingle bitmaps and size ranges.  A dual
@@ -48,6 +50,14 @@ SCREEN_BITS = 16
 SCREEN_LEAST, SCREEN_MOST = 20, 27
 #: log2 of the places in which a task remembers part hashes.
 MET_BITS = 19
+#: Rows that a task passes on for one part hash before it takes all others for its relatives, and
+#: the largest group of rows of which every pair is tested (smaller, so such a hash is not).
+PASSED, TESTED = 8, 7
+#: A document whose sketch differs in no more than this share of the largest difference of linked
+#: sets stands behind the one it met.
+BEHIND = 4
+#: log2 of the bits of a parity sketch.
+SKETCHED = range(6, 15)
 #: Part hashes are written and dealt in so many turns, each a share of them, and their files go
 #: after each: they are several times the input together.
 TURNS = 3
@@ -75,6 +85,38 @@ def set_print(s: np.ndarray) -> int:
     return int(mixed(both).astype(np.int64)[0])
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Bit i is the parity of the members that hash to i; two to four bits a member."""
+    bits = 1 << min(max((2 * len(s) - 1).bit_length(), SKETCHED[0]), SKETCHED[-1])
+    at = (mixed(s ^ np.uint64(0xA0761D6478BD642F)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def distance(a: bytes, b: bytes) -> int:
+    """Differing bits of two sketches, the longer one folded: at most the number of members that
+    are in one set alone, and a metric among sketches of one length."""
+    if len(a) > len(b):
+        a, b = b, a
+    x, bits = int.from_bytes(b, "little"), 8 * len(b)
+    while bits > 8 * len(a):
+        bits //= 2
+        x = (x >> bits) ^ (x & ((1 << bits) - 1))
+    return (x ^ int.from_bytes(a, "little")).bit_count()
+
+
+def behind(percent: int, n: int, a: bytes, m: int, b: bytes) -> bool:
+    """May a document stand behind one that it met?  Only if it is that near."""
+    return len(a) == len(b) and percent * max(n, m) <= 100 * min(n, m) and BEHIND * (100 + percent) * distance(a, b) <= (100 - percent) * (n + m)
+
+
+def related(percent: int, n: int, a: bytes, m: int, b: bytes) -> bool:
+    """False only if neither the sets nor any that stand behind them are linked: sets behind are
+    at most 100 / percent as large, linked ones differ in (100 - percent) / (100 + percent) of
+    both sizes, and the way from a to b leads over two that stand behind."""
+    # (n + m) * q * (r + (1 + r) / BEHIND), q = (100 - percent) / (100 + percent), r = 100 / percent
+    return distance(a, b) * BEHIND * percent * (100 + percent) <= (n + m) * (100 - percent) * (100 * BEHIND + percent + 100)
+
+
 class SizeWindows:
     """Bands of sizes such that linked sets lie in one band or in neighbours, and windows
     of ``span + 1`` bands that overlap in one, so a linked pair shares a window."""
@@ -162,12 +204,26 @@ class Met:
     """Part hashes that a task has met, each with the print of a set that has it.  A place
     holds the last hash that fell there; a forgotten hash is passed on once more."""
 
-    def __init__(self):
+    def __init__(self, percent: int):
+        self.percent = percent
         self.keys = np.zeros(1 << MET_BITS, np.uint64)
         self.prints = np.zeros(1 << MET_BITS, np.int64)
+        self.passed = np.zeros(1 << MET_BITS, np.uint8)
+        self.sketches: dict[int, tuple[int, bytes]] = {}
+
+    def learn(self, prints: list, sizes: list[int], sketches: list) -> None:
+        if len(self.sketches) > 100_000:
+            self.sketches.clear()
+        self.sketches.update((p, (n, x)) for p, n, x in zip(prints, sizes, sketches) if n)
+
+    def behind(self, own: int, held: int) -> bool:
+        a, b = self.sketches.get(own), self.sketches.get(held)
+        return own == held or bool(a and b) and behind(self.percent, *a, *b)
 
     def sort_out(self, keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(which of a batch's hashes are new, for the others the print met before)."""
+        """(which of a batch's hashes are passed on, for the others the print met before).
+        Passed on are those not met before, and up to PASSED those of sets that are not near the
+        one that was met."""
         _, first, back = np.unique(keys, return_index=True, return_inverse=True)
         held = prints[first]
         own = keys[first]
@@ -175,8 +231,19 @@ class Met:
         known = self.keys[at] == own
         held[known] = self.prints[at[known]]
         self.keys[at], self.prints[at] = own, held
+        passed = np.where(known, self.passed[at], 1).astype(np.int64)
         new = np.zeros(len(keys), bool)
         new[first[~known]] = True
+        met, of = np.unique(np.stack([prints, held[back]], axis=1), axis=0, return_inverse=True)
+        far = np.array([not self.behind(int(x), int(y)) for x, y in met], bool)[of.ravel()] & ~new
+        some = np.flatnonzero(far)
+        some = some[np.argsort(back[some], kind="stable")]
+        group = back[some]
+        place = np.arange(len(some)) - np.searchsorted(group, group)
+        more = some[passed[group] + place < PASSED]
+        new[more] = True
+        np.add.at(passed, back[more], 1)
+        self.passed[at] = passed
         return new, held[back]
 
 
@@ -187,18 +254,19 @@ def listed(values: np.ndarray, owners: np.ndarray, n: int) -> pa.ListArray:
 
 
 def key_rows(k: int, percent: int, common_bits, id_name: str, turn: int = 0, turns: int = 1):
-    """Documents as (id, n_shingles, print, keys, met): keys only where a task first meets
-    both the set and the hash; met: prints of sets that share a hash met before.  Of the
-    hashes, those that fall to ``turn``."""
+    """Documents as (id, n_shingles, print, sketch, keys, met): keys only where a task first
+    meets the set and passes on the hash; met: prints of sets that share a hash met before.  Of
+    the hashes, those that fall to ``turn``."""
 
     def run(batches):
-        sizes, seen, met = SizeWindows(percent), set(), Met()
+        sizes, seen, met = SizeWindows(percent), set(), Met(percent)
         bits = np.frombuffer(common_bits.value, np.uint8)
         for batch in batches:
-            n, prints, keys = [], [], []
+            n, prints, sketches, keys = [], [], [], []
             for s in shingle_sets(common.binary_texts(batch), k):
                 n.append(len(s))
                 prints.append(set_print(s) if len(s) else None)
+                sketches.append(parity(s) if len(s) else None)
                 found = []
                 if len(s) and prints[-1] not in seen:
                     if len(seen) > 1_000_000:
@@ -221,11 +289,12 @@ def key_rows(k: int, percent: int, common_bits, id_name: str, turn: int = 0, tur
                 continue
             owners = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
             flat, own = np.concatenate(keys).view(np.uint64), np.array([p or 0 for p in prints], np.int64)[owners]
+            met.learn(prints, n, sketches)
             new, held = met.sort_out(flat, own)
             links = np.unique(np.stack([owners, held], axis=1)[~new & (held != own)], axis=0)
             yield pa.RecordBatch.from_arrays(
-                [*common.keep(batch, id_name), pa.array(n, pa.int64()), pa.array(prints, pa.int64()), listed(flat[new].view(np.int64), owners[new], len(keys)), listed(links[:, 1], links[:, 0], len(keys))],
-                names=[id_name, "n_shingles", "print", "keys", "met"],
+                [*common.keep(batch, id_name), pa.array(n, pa.int64()), pa.array(prints, pa.int64()), pa.array(sketches, pa.binary()), listed(flat[new].view(np.int64), owners[new], len(keys)), listed(links[:, 1], links[:, 0], len(keys))],
+                names=[id_name, "n_shingles", "print", "sketch", "keys", "met"],
             )
 
     return common.released(run)
@@ -393,13 +462,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_name:
     sc = spark.sparkContext
     kind = docs.schema[id_name].dataType.simpleString()
     bits = sc.broadcast(common_shingles(docs, k))  # 2 ** SKETCH_BITS bits
+    common.free_shuffles(spark)
     signed, shared = None, []
     for turn in range(TURNS):
-        full = docs.select(id_name, "text").mapInArrow(key_rows(k, percent, bits, id_name, turn, TURNS), f"{id_name} {kind}, n_shingles long, print long, keys array<long>, met array<long>")
-        full = full if signed is None else full.drop(id_name, "n_shingles").filter("size(keys) + size(met) > 0")
+        full = docs.select(id_name, "text").mapInArrow(key_rows(k, percent, bits, id_name, turn, TURNS), f"{id_name} {kind}, n_shingles long, print long, sketch binary, keys array<long>, met array<long>")
+        full = full if signed is None else full.drop(id_name).filter("size(keys) + size(met) > 0")
         full = common.store(full.withColumn("_row", F.monotonically_increasing_id()), "keys")
         signed = signed or common.store(full.select(id_name, "n_shingles", "print"), "signed")
-        shared.append(common.store(_shared(full), "shared"))
+        shared.append(common.store(_shared(full, percent), "shared"))
         common.remove(full)
         common.free_shuffles(spark)
     family = common.store(common.components(reduce(DataFrame.union, shared), "families"), "family")
@@ -432,15 +502,34 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_name:
     return _with_component(signed, labels, id_name)
 
 
-def _shared(full: DataFrame) -> DataFrame:
+def related_rows(percent: int):
+    """Pairs (a, b) that were not to be tested or whose sketches leave them related."""
+
+    def run(batches):
+        for batch in batches:
+            sure, n, m, x, y = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("sure", "n", "m", "x", "y"))
+            kept = [t or related(percent, *of) for t, *of in zip(sure, n, x, m, y)]
+            yield pa.RecordBatch.from_arrays(common.keep(batch, "a", "b"), names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return common.released(run)
+
+
+def _shared(full: DataFrame, percent: int) -> DataFrame:
     """Prints (a, b) of sets that share a part hash.  In the shuffle a document is its row
-    number, whose high bytes repeat and compress away."""
+    number, whose high bytes repeat and compress away.  A hash of few rows gives all its pairs,
+    of which related ones stay; one of many rows ties all to its first."""
     by_key = Window.partitionBy("key").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keyed = full.select("_row", F.explode("keys").alias("key"))
-    shared = keyed.withColumn("hub", F.first("_row").over(by_key)).filter("hub <> _row").select("_row", "hub").distinct()
-    of = full.select("_row", F.col("print").alias("a"))
-    shared = shared.join(of, "_row").join(of.select(F.col("_row").alias("hub"), F.col("a").alias("b")), "hub").select("a", "b")
-    return shared.union(full.select(F.col("print").alias("a"), F.explode("met").alias("b")))
+    shared = keyed.withColumn("hub", F.first("_row").over(by_key)).filter("hub <> _row")
+    groups = shared.groupBy("key").agg(F.first("hub").alias("hub"), F.array_sort(F.collect_set("_row")).alias("rows"))
+    pair = lambda x, y, sure: F.struct(x.alias("_row"), y.alias("hub"), F.lit(sure).alias("sure"))
+    every = F.concat(F.array("hub"), F.col("rows"))
+    few = F.flatten(F.transform("rows", lambda x, i: F.transform(F.slice(every, F.lit(1), i + 1), lambda y: pair(x, y, False))))
+    many = F.transform("rows", lambda x: pair(x, F.col("hub"), True))
+    shared = groups.select(F.explode(F.when(F.size("rows") < TESTED, few).otherwise(many)).alias("p")).select("p.*").groupBy("_row", "hub").agg(F.max("sure").alias("sure"))
+    of = full.select("_row", F.col("print").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x"))
+    shared = shared.join(of, "_row").join(of.select(F.col("_row").alias("hub"), F.col("a").alias("b"), F.col("n").alias("m"), F.col("x").alias("y")), "hub").filter("a <> b").drop("_row", "hub")
+    return shared.mapInArrow(related_rows(percent), "a long, b long").union(full.select(F.col("print").alias("a"), F.explode("met").alias("b")))
 
 
 def _pieces(docs: int, shingles: int):

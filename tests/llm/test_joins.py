@@ -216,3 +216,44 @@ def test_kneser_ney_without_training_rows(make):
     rows = K.score(docs, K.train(docs.filter("not held_out").select("text"))).collect()
     assert len(rows) == len(ODD) and all(r.score == 0 and r.n_known == 0 for r in rows)
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_parity_sketches_never_part_linked_sets():
+    rng = np.random.default_rng(5)
+    draw = lambda n: np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+    for percent in (80, 90):
+        for n in (1, 3, 9, 40, 130, 600, 5000, 20000):
+            a = draw(n)
+            b = np.unique(np.r_[a[: -(n * (100 - percent) // 100) or None], draw(n * (100 - percent) // 300)])
+            linked = 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))
+            x, y = J.parity(a), J.parity(b)
+            assert J.distance(x, y) == J.distance(y, x) <= len(np.setxor1d(a, b))
+            assert not linked or J.related(percent, len(a), x, len(b), y)
+            if n >= 130:
+                other = draw(n)
+                assert not J.related(percent, n, x, n, J.parity(other)) or n == 20000
+                assert not J.behind(percent, n, x, n, J.parity(other))
+
+
+def test_unrelated_documents_that_share_a_part_make_no_family(spark):
+    rng = np.random.default_rng(6)
+    sets = [rng.integers(0, 2**64, 300, dtype=np.uint64) for _ in range(4)]
+    sets.append(np.r_[sets[0][:290], sets[1][:5]])  # a near copy of the first
+    row = lambda i, s, keys: (i, 100 + i, len(s), bytearray(J.parity(s)), keys, [])
+    rows = [row(i, s, [1] if i != 1 else [1, 2]) for i, s in enumerate(sets)]
+    rows += [row(10 + i, rng.integers(0, 2**64, 300, dtype=np.uint64), [3]) for i in range(9)]  # too many to test
+    full = spark.createDataFrame(rows, "_row long, print long, n_shingles long, sketch binary, keys array<long>, met array<long>")
+    found = {tuple(sorted(r)) for r in J._shared(full, 80).collect()}
+    assert found == {(100, 104)} | {(110, 110 + i) for i in range(1, 9)}
+
+
+def test_a_task_passes_on_the_hashes_of_unlike_sets():
+    rng = np.random.default_rng(7)
+    sets = [rng.integers(0, 2**64, 300, dtype=np.uint64) for _ in range(20)]
+    met = J.Met(80)
+    prints = list(range(1, 21))
+    met.learn(prints, [300] * 20, [J.parity(s) for s in sets])
+    new = np.concatenate([met.sort_out(np.full(5, 9, np.uint64), np.array(prints[i : i + 5]))[0] for i in range(0, 20, 5)])
+    assert new.sum() == J.PASSED > J.TESTED and new[: J.PASSED].all()
+    again, held = met.sort_out(np.array([8, 8], np.uint64), np.array([1, 1]))
+    assert again.tolist() == [True, False] and held.tolist() == [1, 1]
